@@ -15,12 +15,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Texts are handed to numpy in runs of about this many characters.
-RUN_CHARS = 2_000_000
+RUN_CHARS = 500_000
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors once, for clusters where it isn't installed."""
+    """Sends this package to the executors once, for clusters where it isn't installed, and bounds Arrow batches."""
+    if spark.conf.get(BATCH_ROWS, None) is None:  # texts are long: ten thousand rows a batch are tens of megabytes
+        spark.conf.set(BATCH_ROWS, "1000")
     sc = spark.sparkContext
     if getattr(sc, "_obswatch_shipped", False):
         return

@@ -102,8 +102,8 @@ def infer(model: Model, texts: list[str | None], rounds: int = 12, penalty: floa
         return none
     first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
     like = np.add.reduceat(model.table[bucket], first, axis=0) * temper
-    like = np.exp(np.maximum(like - (top := like.max(1, keepdims=True)), -60)).astype(np.float64)
-    del top
+    like = np.ascontiguousarray(like.T, np.float64)  # languages x words
+    like = np.exp(np.maximum(like - like.max(0), -60))
     words = np.bincount(doc, minlength=size)
     has = np.flatnonzero(words)
     at = np.concatenate([[0], np.cumsum(words[has])[:-1]])
@@ -111,27 +111,28 @@ def infer(model: Model, texts: list[str | None], rounds: int = 12, penalty: floa
     n = words[has].astype(np.float64)
 
     def fit(allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        share = allowed / allowed.sum(1, keepdims=True)
+        share = allowed / allowed.sum(0)
         for _ in range(rounds):
-            part = share[row] * like
-            part /= part.sum(1, keepdims=True) + 1e-300
-            share = np.add.reduceat(part, at, axis=0) / n[:, None]
-        return share, np.add.reduceat(np.log((share[row] * like).sum(1) + 1e-300), at)
-
-    full, _ = fit(np.ones((len(has), k)))
-    order = np.argsort(-full, axis=1, kind="stable")
+            part = np.take(share, row, axis=1)
+            part *= like
+            part /= part.sum(0) + 1e-300
+            share = np.add.reduceat(part, at, axis=1) / n
+        return share, np.add.reduceat(np.log((np.take(share, row, axis=1) * like).sum(0) + 1e-300), at)
+
+    full, _ = fit(np.ones((k, len(has))))
+    order = np.argsort(-full, axis=0, kind="stable")
     best, value = None, np.full(len(has), -np.inf)
     for m in range(1, min(k, 4) + 1):
-        allowed = np.zeros((len(has), k))
-        np.put_along_axis(allowed, order[:, :m], 1.0, axis=1)
-        share, fits = (allowed, np.add.reduceat(np.log(like[np.arange(len(row)), order[row, 0]] + 1e-300), at)) if m == 1 else fit(allowed)
+        allowed = np.zeros((k, len(has)))
+        np.put_along_axis(allowed, order[:m], 1.0, axis=0)
+        share, fits = (allowed, np.add.reduceat(np.log(like[order[0, row], np.arange(len(row))] + 1e-300), at)) if m == 1 else fit(allowed)
         worth = fits - penalty * (m - 1) * np.log(n + 1)
         better = worth > value
-        best = share if best is None else np.where(better[:, None], share, best)
+        best = share if best is None else np.where(better, share, best)
         value = np.maximum(value, worth)
     out = none
     for i, d in enumerate(has):
-        shares = best[i]
+        shares = best[:, i]
         lead = int(np.argmax(shares))
         out[0][d], out[1][d] = model.languages[lead], float(min(1.0, shares[lead]))
         chosen = [j for j in np.argsort(-shares, kind="stable") if shares[j] > 1e-3]

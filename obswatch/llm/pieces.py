@@ -305,7 +305,7 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str |
         for b in batches:
             texts = b.column(at).to_pylist()
             keys = [zlib.crc32(str("" if k is None else k).encode()) for k in b.column(ident).to_pylist()]
-            for x, y in runs(texts):
+            for x, y in runs(texts, 2_000_000):
                 ids = encoder(texts[x:y], keys[x:y])
                 yield pa.RecordBatch.from_arrays([*b.slice(x, y - x).columns, pa.array(ids, pa.binary()), pa.array([len(i) // 4 for i in ids], pa.int64())], names=[*b.schema.names, *names])
 
