@@ -18,6 +18,9 @@ any other; an empty table gives no pieces. Copies are packed one by one.
 
 from __future__ import annotations
 
+import functools
+import gc
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -40,28 +43,98 @@ def tokenizer_path(name: str = VOCABULARY) -> str:
     return str(public_tokenizers.path(name))
 
 
+#: Signs that the tokenizer parts from letters before them.
+_SIGNS = ".,;:!?%*&$#|<>=+-/()[]{}\"_~^@\\"
+
+
+def _lowered(text: str) -> str:
+    """text in lower case, if its characters are those whose lower case is the same by any rule, and none
+    could be of a special token, which is looked for as written."""
+    if "<|" in text:
+        return text
+    if text.isascii():
+        return text.lower()
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
+
+
 class Encoder:
-    """Ids as little-endian bytes. The tokenizer treats parts between blanks on their own, so that the
-    ids of a part are looked up when it has been seen before; the memory of parts is bounded."""
+    """Ids as little-endian bytes.
+
+    The tokenizer treats parts between blanks on their own, and letters and the signs after them too, and
+    lower-cases. So a part's ids are looked up when it, or else its letters and its signs, have been seen;
+    new runs of letters are given to the tokenizer in one text, which the ends of words divide. The
+    memory of parts is bounded: the older half of it goes.
+    """
 
-    def __init__(self, path: str, limit: int = 400_000) -> None:
+    def __init__(self, path: str, limit: int = 700_000) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known, self.limit = Tokenizer.from_file(path), {"": b""}, limit
+        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.known: dict[str, bytes] = {"": b""}
+        self.before: dict[str, bytes] = {}
+        self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        for piece, i in self.tokenizer.get_vocab().items():
+            self.ends[i] = piece.endswith("</w>")
+
+    def _plain(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
+        for a in range(0, len(parts), 5000):
+            some = parts[a : a + 5000]
+            for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                yield p, np.array(e.ids, "<u4").tobytes()
+
+    def _letters(self, runs_of_letters: list[str]) -> Iterator[tuple[str, bytes]]:
+        for a in range(0, len(runs_of_letters), 2000):
+            some = runs_of_letters[a : a + 2000]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            at = np.flatnonzero(self.ends[ids]) + 1
+            if len(at) != len(some):
+                yield from self._plain(some)
+                continue
+            data, at = ids.tobytes(), (4 * at).tolist()
+            yield from zip(some, (data[x:y] for x, y in zip([0, *at], at, strict=False)), strict=True)
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        parts = [(t or "").replace("\n", " ").split(" ") for t in texts]
+        parts = [_lowered(t or "").replace("\n", " ").split(" ") for t in texts]
         if len(self.known) > self.limit:
-            self.known = {"": b""}
-        known = self.known
-        new = [p for p in set().union(*parts) if p not in known]
-        for a in range(0, len(new), 5000):
-            some = new[a : a + 5000]
-            for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                known[p] = np.array(e.ids, "<u4").tobytes()
+            self.before, self.known = self.known, {"": b""}
+        known, before = self.known, self.before
+        new = set().union(*parts).difference(known)
+        again = {p for p in new if p in before}
+        known.update((p, before[p]) for p in again)
+        simple: list[tuple[str, str, str]] = []
+        odd: set[str] = set()
+        letters: set[str] = set()
+        for p in new.difference(again):
+            w = p.rstrip(_SIGNS)
+            if w.isalpha() and (w.isascii() or max(w) < "\u0100"):
+                if w is p or len(w) == len(p):
+                    letters.add(p)
+                    continue
+                simple.append((p, w, p[len(w) :]))
+                if w not in known:
+                    letters.add(w)
+                if simple[-1][2] not in known:
+                    odd.add(simple[-1][2])
+            else:
+                odd.add(p)
+        known.update(self._plain(sorted(odd)))
+        known.update(self._letters(sorted(letters.difference(odd))))
+        for p, w, signs in simple:
+            known[p] = known[w] + known[signs]
         return [b"".join(map(known.__getitem__, p)) for p in parts]
 
 
+@functools.lru_cache(1)
+def encoder(path: str) -> Encoder:
+    """One encoder for all tasks of a worker, which so starts with the parts of earlier ones."""
+    return Encoder(path)
+
+
 def cuts(tokens: int, size: int = SIZE, grain: int = GRAIN) -> list[int]:
     """Lengths of the pieces of so many tokens."""
     full, rest = divmod(tokens, size)
@@ -75,10 +148,11 @@ def pieces(docs: DataFrame, key: str, text: str, path: str, size: int = SIZE, gr
     last = np.array([end], "<u4").tobytes()
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, counts = Encoder(path), TaskContext.get().partitionId(), {}
+        gc.disable()  # strings and bytes by the million, and no cycles
+        encode, part, counts = encoder(path), TaskContext.get().partitionId(), {}
         for b in batches:
             texts = b.column(1).to_pylist()
-            for x, y in runs(texts):
+            for x, y in runs(texts, 2_000_000):
                 at, out = [], [[] for _ in range(5)]
                 for i, ids in enumerate(encode(texts[x:y])):
                     data = memoryview(ids + last)
