@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import gc
 import pathlib
 import shutil
 import tempfile
@@ -106,6 +109,7 @@ def append_columns(df: DataFrame, text: str, fields: list[tuple[str, T.DataType]
     arrow = [_arrow(t) for _, t in fields]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        settle()
         fn = make()
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(text))
@@ -117,6 +121,13 @@ def append_columns(df: DataFrame, text: str, fields: list[tuple[str, T.DataType]
     return df.mapInArrow(task, schema)
 
 
+def settle() -> None:
+    """Gives memory that earlier tasks of this worker have freed back to the system."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def _arrow(kind: T.DataType) -> pa.DataType:
     from pyspark.sql.pandas.types import to_arrow_type
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obswatch.llm.common import components, drop_written, few, grouped, runs, ship, table, written
+from obswatch.llm.common import components, drop_written, few, grouped, runs, settle, ship, table, written
 
 WORDS, THRESHOLD = 5, 0.8
 TREES, MAX_DEPTH, RECALL = 24, 8, 0.9995
@@ -96,6 +96,7 @@ def signed(docs: DataFrame, key: str, text: str, trees: int, depth: int) -> Data
     """key, node (md5 of the text) and labels of every row; no labels without a word."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        settle()
         shingle, seeds, names = Shingler(), _seeds(trees * depth), ["key", "node", "labels"]
         for b in batches:
             texts = b.column(2).to_pylist()
@@ -189,6 +190,7 @@ def verify(places: DataFrame, threshold: float) -> DataFrame:
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        settle()
         shingle = Shingler()
         for (_, i, j), data in grouped(batches, ["place", "i", "j"]):
             blocks = {}

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from obswatch.llm.common import few, runs, ship, table, written
+from obswatch.llm.common import few, runs, settle, ship, table, written
 
 SIZE, GRAIN, END = 2048, 64, 1
 VOCABULARY = "word_bpe_49k.json"
@@ -70,7 +70,7 @@ class Encoder:
     memory of parts is bounded: the older half of it goes.
     """
 
-    def __init__(self, path: str, limit: int = 700_000) -> None:
+    def __init__(self, path: str, limit: int = 450_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
@@ -148,6 +148,7 @@ def pieces(docs: DataFrame, key: str, text: str, path: str, size: int = SIZE, gr
     last = np.array([end], "<u4").tobytes()
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        settle()
         gc.disable()  # strings and bytes by the million, and no cycles
         encode, part, counts = encoder(path), TaskContext.get().partitionId(), {}
         for b in batches:
