@@ -1,4 +1,25 @@
-"""All queries and their SQL."""
+"""All queries by name, and SQL that gives the same rows."""
 
-QUERIES: dict = {}
-SQL: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable:
+    """Registers a function of (spark, sf_dir) under its name."""
+
+    def add(fn: Callable[[SparkSession, str], DataFrame]) -> Callable:
+        QUERIES[fn.__name__] = fn
+        if sql is not None:
+            SQL[fn.__name__] = sql
+        return fn
+
+    return add
+
+
+from obswatch.plans import model_queries, quality_queries, series_queries, shape_queries, text_queries  # noqa: E402, F401
