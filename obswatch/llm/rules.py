@@ -6,8 +6,9 @@ are set per stratum. One half of the labelled good documents (by hash of the id)
 fixed list of levels, the cutoffs that so large a share of it exceeds under each rule. The other half
 tests each level: the rules together may reject a good document with probability ``risk`` at most,
 shown by the exact (Clopper-Pearson) upper bound for the rejections counted there, at confidence
-``1 - delta`` shared over all levels and strata (Bonferroni). The strictest level that passes is used;
-a stratum without one, such as one with few labels, rejects nothing beyond the base.
+``1 - delta`` shared over all levels and strata (Bonferroni), so that the bound holds for whichever of the
+levels that pass is used: that which rejects most of the labelled bad documents, of equals the one that
+rejects least. A stratum without one, such as one with few labels, rejects nothing beyond the base.
 
 Defined results: a null text has no words and fails the base; a null stratum is a stratum of its own;
 of several labels of one document the best counts; repeated rows are judged alike; with no labels only
@@ -69,22 +70,23 @@ def _exceeds(cutoffs: Column) -> Column:
 
 def cutoffs(measured: DataFrame, labels: DataFrame, key: str, stratum: Column, risk: float, delta: float) -> dict[str, list[float]]:
     """The tested cutoffs of each stratum that has some; strata are a closed set, such as languages."""
-    good = labels.groupBy(key).agg(F.max("quality").alias("quality")).where("quality = 1").select(key)
-    rows = measured.where(~F.col("base_failed")).select(key, stratum.alias("stratum"), "rule_values").join(good, key, "left_semi").withColumn("test", id_hash(F.col(key)) % 2 == 0)
+    best = labels.where(F.col("quality").isNotNull()).groupBy(key).agg((F.max("quality") >= 1).alias("good"))
+    rows = measured.where(~F.col("base_failed")).select(key, stratum.alias("stratum"), "rule_values").join(best, key).withColumn("test", id_hash(F.col(key)) % 2 == 0)
     rows = written(rows)
     asked = [1 - x for x in LEVELS]
-    found = rows.where("not test").groupBy("stratum").agg(*(F.percentile_approx(F.col("rule_values")[i], asked, 20000).alias(f"r{i}") for i in range(len(RULES)))).collect()
+    found = rows.where("good and not test").groupBy("stratum").agg(*(F.percentile_approx(F.col("rule_values")[i], asked, 20000).alias(f"r{i}") for i in range(len(RULES)))).collect()
     by = {r["stratum"]: [[r[f"r{i}"][j] for i in range(len(RULES))] for j in range(len(LEVELS))] for r in found}
     if not by:
         return {}
     held = rows.sparkSession.createDataFrame([(s, j, c) for s, levels in by.items() for j, c in enumerate(levels)], "stratum string, level int, cutoffs array<double>")
-    seen = rows.where("test").join(F.broadcast(held), "stratum").groupBy("stratum", "level").agg(F.count("*").alias("n"), F.count_if(_exceeds(F.col("cutoffs"))).alias("k")).collect()
+    over, good = _exceeds(F.col("cutoffs")), F.col("good")
+    seen = rows.join(F.broadcast(held), "stratum").groupBy("stratum", "level").agg(F.count_if(good & F.col("test")).alias("n"), F.count_if(good & F.col("test") & over).alias("k"), F.count_if(~good & over).alias("bad")).collect()
     share = delta / (len(by) * len(LEVELS))
-    passed: dict[str, int] = {}
+    passed: dict[str, tuple[int, int]] = {}
     for r in seen:
-        if upper_bound(r["k"], r["n"], share) <= risk:
-            passed[r["stratum"]] = min(r["level"], passed.get(r["stratum"], len(LEVELS)))
-    return {s: by[s][j] for s, j in passed.items()}
+        if r["n"] and upper_bound(r["k"], r["n"], share) <= risk:
+            passed[r["stratum"]] = max((r["bad"], r["level"]), passed.get(r["stratum"], (-1, 0)))
+    return {s: by[s][j] for s, (_, j) in passed.items()}
 
 
 def judge(measured: DataFrame, labels: DataFrame, key: str = "doc_id", stratum: str = "lang", risk: float = 0.02, delta: float = 0.05) -> DataFrame:
