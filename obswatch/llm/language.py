@@ -159,8 +159,8 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a determined language, or with none in over two fifths of their words, go."""
+    """Documents without a determined language, or with none in over a third of their words, go."""
     ship(spark)
     model = train(docs)
     found = detect(docs, model)
-    return found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") > 0.4)).select(*docs.columns)
+    return found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") > 1 / 3)).select(*docs.columns)
