@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-import atexit
 import contextlib
 import ctypes
 import gc
-import pathlib
-import shutil
 import tempfile
 import uuid
-import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -18,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from obswatch.functions import shipping
+
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Texts are handed to numpy in runs of about this many characters.
 RUN_CHARS = 500_000
@@ -27,18 +25,7 @@ def ship(spark: SparkSession) -> None:
     """Sends this package to the executors once, for clusters where it isn't installed, and bounds Arrow batches."""
     if spark.conf.get(BATCH_ROWS, None) is None:  # texts are long: ten thousand rows a batch are tens of megabytes
         spark.conf.set(BATCH_ROWS, "1000")
-    sc = spark.sparkContext
-    if getattr(sc, "_obswatch_shipped", False):
-        return
-    root = pathlib.Path(__file__).resolve().parent.parent
-    folder = tempfile.mkdtemp(prefix="ship_")  # Spark serves the file from here until the driver ends
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    path = f"{folder}/{root.name}-{uuid.uuid4().hex}.zip"
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
-        for f in sorted(root.rglob("*.py")):
-            z.write(f, f.relative_to(root.parent))
-    sc.addPyFile(path)
-    sc._obswatch_shipped = True
+    shipping.ship(spark)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -121,8 +108,15 @@ def append_columns(df: DataFrame, text: str, fields: list[tuple[str, T.DataType]
     return df.mapInArrow(task, schema)
 
 
-def settle() -> None:
-    """Gives memory that earlier tasks of this worker have freed back to the system."""
+#: What tasks keep for the next task of their worker, by name: calls that forget it.
+MEMORIES: dict[str, Callable[[], None]] = {}
+
+
+def settle(own: str | None = None) -> None:
+    """Forgets what tasks of other kinds have kept, and gives freed memory back to the system."""
+    for name, forget in MEMORIES.items():
+        if name != own:
+            forget()
     gc.collect()
     with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
         ctypes.CDLL(None).malloc_trim(0)

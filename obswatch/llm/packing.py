@@ -31,9 +31,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from obswatch.llm.common import few, runs, settle, ship, table, written
+from obswatch.llm.common import MEMORIES, few, runs, settle, ship, table, written
 
 SIZE, GRAIN, END = 2048, 64, 1
+#: Parts of texts that a worker remembers, some 250 bytes each; texts are taken in runs of three times so many characters.
+REMEMBERED = 700_000
 VOCABULARY = "word_bpe_49k.json"
 
 
@@ -70,7 +72,7 @@ class Encoder:
     memory of parts is bounded: the older half of it goes.
     """
 
-    def __init__(self, path: str, limit: int = 450_000) -> None:
+    def __init__(self, path: str, limit: int) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
@@ -122,17 +124,20 @@ class Encoder:
                     odd.add(simple[-1][2])
             else:
                 odd.add(p)
-        known.update(self._plain(sorted(odd)))
-        known.update(self._letters(sorted(letters.difference(odd))))
+        known.update(self._plain(list(odd)))
+        known.update(self._letters(list(letters.difference(odd))))
         for p, w, signs in simple:
             known[p] = known[w] + known[signs]
         return [b"".join(map(known.__getitem__, p)) for p in parts]
 
 
 @functools.lru_cache(1)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, limit: int) -> Encoder:
     """One encoder for all tasks of a worker, which so starts with the parts of earlier ones."""
-    return Encoder(path)
+    return Encoder(path, limit)
+
+
+MEMORIES["packing"] = encoder.cache_clear
 
 
 def cuts(tokens: int, size: int = SIZE, grain: int = GRAIN) -> list[int]:
@@ -142,18 +147,18 @@ def cuts(tokens: int, size: int = SIZE, grain: int = GRAIN) -> list[int]:
     return [size] * full + [x for x in (main, rest - main) if x]
 
 
-def pieces(docs: DataFrame, key: str, text: str, path: str, size: int = SIZE, grain: int = GRAIN, end: int = END) -> DataFrame:
+def pieces(docs: DataFrame, key: str, text: str, path: str, size: int = SIZE, grain: int = GRAIN, end: int = END, remembered: int = REMEMBERED) -> DataFrame:
     """A row for each piece; k counts the pieces of one length in one task, part is that task."""
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "k"]
     last = np.array([end], "<u4").tobytes()
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        settle()
+        settle("packing")
         gc.disable()  # strings and bytes by the million, and no cycles
-        encode, part, counts = encoder(path), TaskContext.get().partitionId(), {}
+        encode, part, counts = encoder(path, remembered), TaskContext.get().partitionId(), {}
         for b in batches:
             texts = b.column(1).to_pylist()
-            for x, y in runs(texts, 2_000_000):
+            for x, y in runs(texts, 3 * remembered):
                 at, out = [], [[] for _ in range(5)]
                 for i, ids in enumerate(encode(texts[x:y])):
                     data = memoryview(ids + last)
@@ -237,10 +242,10 @@ def plan(lengths: list[int], demand: list[int], size: int = SIZE) -> list[tuple[
     return out
 
 
-def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, size: int = SIZE, grain: int = GRAIN, end: int = END) -> DataFrame:
+def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, size: int = SIZE, grain: int = GRAIN, end: int = END, remembered: int = REMEMBERED) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset of every piece."""
     spark = docs.sparkSession
-    cut = written(pieces(docs, key, text, path or tokenizer_path(), size, grain, end))
+    cut = written(pieces(docs, key, text, path or tokenizer_path(), size, grain, end, remembered))
     counts = written(cut.groupBy("length", "part").agg(F.count("*").alias("n")))
     totals = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # size/grain + grain lengths at most
     shifts = counts.withColumn("shift", F.sum("n").over(W.partitionBy("length").orderBy("part").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("n")).drop("n")
@@ -273,4 +278,4 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    return pack(docs.select("doc_id", "text"))
+    return pack(docs.select("doc_id", "text"), remembered=300_000)  # the executors still hold what earlier stages left
