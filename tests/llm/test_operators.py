@@ -292,6 +292,19 @@ def test_class_probabilities_sum_to_one():
     assert np.allclose(np.exp(logs).sum(1), 1, atol=1e-4)
 
 
+def test_model_keeps_its_features_and_classes(spark):
+    def rows(c1, w1):
+        return set(maxent._rows(np.array([3, 4, c1, 0], np.uint32), np.array([7, 8, w1, 0], np.uint32), np.array([3])).ravel().tolist())
+
+    assert len(rows(5, 9)) == 5 and len(rows(5, 9) - rows(6, 9)) == 1 and len(rows(5, 9) - rows(5, 9 + (1 << 16))) == 2
+    df = spark.createDataFrame([(1, "often soften often", True)], "doc_id long, text string, learn boolean")
+    blob = maxent.blocks(df, "doc_id", "text", "learn").where("blob is not null").first()["blob"]
+    _, _, _, ids, hashes, classes = maxent._opened(blob, [(0, 0)])  # the first word is a class of its own
+    assert ids.tolist() == [0, 1, 0, 2] and classes.tolist() == [0, maxent.class_of(b"soften"), maxent.class_of(b"")]
+    assert maxent.class_of(b"soften") == maxent.class_of(b"often") >= maxent.OWN and maxent.ROWS >= 1 << 14
+    assert hashes.tolist() == [zlib.crc32(w) for w in (b"often", b"soften", b"")]
+
+
 def test_sharding(spark):
     rows = [(1, "a" * 60)] * 50 + [(2, "b" * 70)] * 3 + [(3, None), (None, "x"), (None, "x" * 500), (4, "y" * 90)] + [(i, "z" * (i % 40)) for i in range(10, 200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
