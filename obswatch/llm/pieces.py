@@ -2,9 +2,12 @@
 
 Symbols of a text are merged pair by pair, the pair with the best score first and the leftmost of equals,
 as the BPE of a SentencePiece model does it. With a dropout, each merge that comes up is skipped if a hash
-of the seed, the variant, the chunk and the merge's place says so: the same seed gives the same
-segmentation, another seed another one, and occurrences of a chunk are spread over ``variants`` of them, by
-spans of a document. Without dropout the ids are those of the sentencepiece library.
+of the seed, the document, the chunk, its number in the document and the merge's place says so: the same
+seed gives the same segmentation, another seed another one, and each occurrence of a chunk has draws of its
+own. Without dropout the ids are those of the sentencepiece library.
+
+Chunks are remembered without dropout, with the merges that came up. An occurrence of which none of those
+is skipped has the same ids; the others are merged one by one.
 
 No piece of the model has a blank after another character or holds a line break, so that texts fall into
 chunks which merges never cross. Short chunks are merged many at once, one merge of each in a step; long
@@ -35,9 +38,9 @@ from obswatch.llm.common import runs, table
 
 MODEL = "piece_bpe_32k.model"
 BLANK = "▁"
-DROPOUT, VARIANTS, SEED = 0.1, 4, 17
-#: Chunks in a span of one variant; characters of a long chunk; chunks remembered.
-SPAN, LONG, KNOWN = 64, 48, 400_000
+DROPOUT, SEED = 0.1, 17
+#: Characters of a long chunk; chunks remembered.
+LONG, KNOWN = 48, 400_000
 _CHUNK = re.compile(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n")
 _NONE = np.int32(2**31 - 1)
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -131,10 +134,25 @@ def _dropped(key: np.ndarray, start: np.ndarray, end: np.ndarray, dropout: float
     return (h >> np.uint64(11)).astype(np.float64) * 2.0**-53 < dropout
 
 
-def _keys(seed: int, variant: int, chunks: list[str]) -> np.ndarray:
+def _crcs(chunks: list[str]) -> np.ndarray:
+    return np.fromiter((zlib.crc32(c.encode("utf-8", "surrogatepass")) for c in chunks), np.uint64, len(chunks))
+
+
+def _keyed(crcs: np.ndarray, occurrences: np.ndarray) -> np.ndarray:
+    return _mix(crcs * _A + occurrences)
+
+
+def _keys(seed: int, occurrence: int, chunks: list[str]) -> np.ndarray:
     """The keys of chunks, from which their merges' hashes come."""
-    h = np.fromiter((zlib.crc32(c.encode("utf-8", "surrogatepass")) for c in chunks), np.uint64, len(chunks))
-    return _mix(h * _A + np.uint64((seed * 64 + variant) & (2**64 - 1)))
+    return _keyed(_crcs(chunks), np.uint64((seed * 64 + occurrence) & (2**64 - 1)))
+
+
+def _occurrences(seed: int, keys: list[int], sizes: list[int]) -> np.ndarray:
+    """A number for each chunk of documents in a row, by seed, document and the chunk's number in it."""
+    docs = np.array([(k * 0x9E3779B97F4A7C15 + seed) & (2**64 - 1) for k in keys], np.uint64)
+    starts = np.cumsum([0, *sizes])
+    place = np.arange(starts[-1]) - np.repeat(starts[:-1], sizes)
+    return _mix(np.repeat(_mix(docs), sizes) + place.astype(np.uint64))
 
 
 def _written(m: Model, symbols: list[int], chunk: str, starts: list[int]) -> bytes:
@@ -147,8 +165,8 @@ def _written(m: Model, symbols: list[int], chunk: str, starts: list[int]) -> byt
     return np.array(out, "<u4").tobytes()
 
 
-def _long(m: Model, chunk: str, key: int, dropout: float) -> bytes:
-    """One chunk, by an agenda of candidate merges."""
+def _long(m: Model, chunk: str, key: int, dropout: float, made: list | None = None) -> bytes:
+    """One chunk, by an agenda of candidate merges; made takes the starts and ends of its merges."""
     sym = [m.id.get(c, m.size) for c in chunk]
     left, right, end = list(range(-1, len(sym) - 1)), [*range(1, len(sym)), -1], list(range(1, len(sym) + 1))
     agenda: list[tuple[int, int, int, int]] = []
@@ -174,6 +192,8 @@ def _long(m: Model, chunk: str, key: int, dropout: float) -> bytes:
         now, _ = m.merge(np.array([sym[i]]), np.array([sym[j]]))
         if int(now[0]) != got or (dropout and _dropped(k, np.array([i]), np.array([to]), dropout)[0]):
             continue
+        if made is not None:
+            made.append((i, to))
         sym[i], end[i], gone[j], right[i] = got, to, True, right[j]
         if right[j] >= 0:
             left[right[j]] = i
@@ -184,8 +204,8 @@ def _long(m: Model, chunk: str, key: int, dropout: float) -> bytes:
     return _written(m, [sym[i] for i in starts], chunk, starts)
 
 
-def _short(m: Model, chunks: list[str], keys: np.ndarray, dropout: float) -> list[bytes]:
-    """Chunks of similar length, one merge of each in a step."""
+def _short(m: Model, chunks: list[str], keys: np.ndarray, dropout: float, made: list | None = None) -> list[bytes]:
+    """Chunks of similar length, one merge of each in a step; made takes chunks, starts and ends of their merges."""
     n, width = len(chunks), max(map(len, chunks)) + 1
     size = m.size
     sym = np.full((n, width), -1, np.int32)
@@ -214,6 +234,8 @@ def _short(m: Model, chunks: list[str], keys: np.ndarray, dropout: float) -> lis
             skip = _dropped(keys[row], c, after[gone] - first[row], dropout)
             rank[row[skip], c[skip]] = _NONE
             row, c, at, gone = row[~skip], c[~skip], at[~skip], gone[~skip]
+        if made is not None:
+            made.append((first[row] // width, c, after[gone] - first[row]))
         new, right = becomes[at], after[gone]
         sym[at], sym[gone], after[at], before[right] = new, -2, right, at
         rank[row, c + (gone - at)] = _NONE
@@ -236,12 +258,47 @@ def _short(m: Model, chunks: list[str], keys: np.ndarray, dropout: float) -> lis
 class Encoder:
     """Ids (little-endian, 32 bits) of texts; remembers a bounded number of chunks."""
 
-    def __init__(self, path: str, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> None:
+    def __init__(self, path: str, dropout: float = DROPOUT, seed: int = SEED) -> None:
         self.model, self.dropout, self.seed = model(path), dropout, seed
-        self.variants = variants if dropout else 1
-        sign = np.array([self.model.byte[b] for b in BLANK.encode()], "<u4").tobytes()
-        self.known: list[dict[str | None, bytes]] = [{None: sign} for _ in range(self.variants)]
-        self.before: list[dict[str | None, bytes]] = [{} for _ in range(self.variants)]
+        self.forget()
+
+    def forget(self) -> None:
+        """Remembered chunks: numbers, ids without dropout, crc32, and bounds of their merges in starts and ends."""
+        self.known: dict[str | None, int] = {None: 0}
+        self.plain = [np.array([self.model.byte[b] for b in BLANK.encode()], "<u4").tobytes()]
+        self.crcs, self.bounds = np.zeros(1, np.uint64), np.zeros(2, np.int64)
+        self.starts, self.ends = np.zeros(0, np.int32), np.zeros(0, np.int32)
+
+    def merged(self, chunks: list[str], keys: np.ndarray, dropout: float, made: list | None = None) -> list[bytes]:
+        """Ids of chunks; made takes arrays of chunks, starts and ends of merges."""
+        out, by = [b""] * len(chunks), {}
+        for i, c in enumerate(chunks):
+            if len(c) > LONG:
+                own: list[tuple[int, int]] | None = None if made is None else []
+                out[i] = _long(self.model, c, int(keys[i]), dropout, own)
+                if own:
+                    made.append((np.full(len(own), i), *np.array(own).T))
+            else:
+                by.setdefault((len(c) + 2) // 3, []).append(i)
+        for group in by.values():
+            for a in range(0, len(group), 8192):
+                some, own = np.array(group[a : a + 8192]), None if made is None else []
+                for i, ids in zip(some.tolist(), _short(self.model, [chunks[i] for i in some], keys[some], dropout, own), strict=True):
+                    out[i] = ids
+                if own:
+                    made += [(some[rows], start, end) for rows, start, end in own]
+        return out
+
+    def learn(self, chunks: list[str]) -> None:
+        made: list = []
+        self.plain += self.merged(chunks, np.zeros(len(chunks), np.uint64), 0.0, made)
+        self.known.update(zip(chunks, range(len(self.known), len(self.known) + len(chunks)), strict=True))
+        self.crcs = np.concatenate([self.crcs, _crcs(chunks)])
+        rows, starts, ends = (np.concatenate([np.zeros(0, np.int64), *(x[i] for x in made)]) for i in range(3))
+        order = np.argsort(rows, kind="stable")
+        self.starts = np.concatenate([self.starts, starts[order].astype(np.int32)])
+        self.ends = np.concatenate([self.ends, ends[order].astype(np.int32)])
+        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(np.bincount(rows, minlength=len(chunks)))])
 
     def chunks(self, text: str) -> list[str]:
         """A text's chunks; those of blank signs in the text itself are None."""
@@ -254,34 +311,28 @@ class Encoder:
         return out
 
     def __call__(self, texts: list[str | None], keys: list[int]) -> list[bytes]:
-        m, sign = self.model, np.array([self.model.byte[b] for b in BLANK.encode()], "<u4").tobytes()
-        if sum(map(len, self.known)) > KNOWN:
-            self.before, self.known = self.known, [{None: sign} for _ in self.known]
-        spans: list[list[tuple[int, list]]] = []
-        new: list[set] = [set() for _ in self.known]
-        for text, key in zip(texts, keys, strict=True):
-            parts, n = self.chunks(text or ""), self.variants
-            blocks = [parts[i : i + SPAN] for i in range(0, len(parts), SPAN)]
-            place = np.arange(len(blocks), dtype=np.uint64) + np.uint64((key * 0x9E3779B97F4A7C15 + self.seed) & (2**64 - 1))
-            spans.append(list(zip((_mix(place) % np.uint64(n)).tolist(), blocks, strict=True)))
-            for v, block in spans[-1]:
-                new[v].update(block)
-        for v, known in enumerate(self.known):
-            before = self.before[v]
-            lacking = new[v].difference(known)
-            again = lacking.intersection(before)
-            known.update((c, before[c]) for c in again)
-            by: dict[int, list[str]] = {}
-            for c in lacking.difference(again):
-                if len(c) > LONG:
-                    known[c] = _long(m, c, int(_keys(self.seed, v, [c])[0]), self.dropout)
-                else:
-                    by.setdefault((len(c) + 2) // 3, []).append(c)
-            for group in by.values():
-                for a in range(0, len(group), 8192):
-                    some = group[a : a + 8192]
-                    known.update(zip(some, _short(m, some, _keys(self.seed, v, some), self.dropout), strict=True))
-        return [b"".join(itertools.chain.from_iterable(map(self.known[v].__getitem__, block) for v, block in s)) for s in spans]
+        if len(self.known) > KNOWN:
+            self.forget()
+        parts = [self.chunks(t or "") for t in texts]
+        sizes = [len(p) for p in parts]
+        flat = list(itertools.chain.from_iterable(parts))
+        if lacking := set(flat).difference(self.known):
+            self.learn(sorted(lacking))
+        at = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
+        out = list(map(self.plain.__getitem__, at.tolist()))
+        if self.dropout and flat:
+            drawn = _keyed(self.crcs[at], _occurrences(self.seed, keys, sizes))
+            for a in range(0, len(at), 65536):
+                some = at[a : a + 65536]
+                n = self.bounds[some + 1] - self.bounds[some]
+                which = np.repeat(np.arange(len(some)), n)
+                merge = np.arange(len(which)) + np.repeat(self.bounds[some] - np.cumsum(n) + n, n)
+                skipped = _dropped(drawn[a : a + 65536][which], self.starts[merge], self.ends[merge], self.dropout)
+                varied = np.unique(which[skipped]) + a
+                for i, ids in zip(varied.tolist(), self.merged([flat[i] for i in varied], drawn[varied], self.dropout), strict=True):
+                    out[i] = ids
+        ends = itertools.accumulate(sizes)
+        return [b"".join(out[z - n : z]) for n, z in zip(sizes, ends, strict=True)]
 
 
 def decode_ids(m: Model, ids: bytes) -> str:
@@ -291,7 +342,7 @@ def decode_ids(m: Model, ids: bytes) -> str:
     return b"".join(map(m.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "surrogatepass")[1:]
 
 
-def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """docs with ids (binary, little-endian 32-bit) and n_pieces."""
     path = path or model_path()
     names = ["ids", "n_pieces"]
@@ -301,7 +352,7 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str |
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()  # strings and bytes by the million, and no cycles
-        encoder = Encoder(path, dropout, seed, variants)
+        encoder = Encoder(path, dropout, seed)
         for b in batches:
             texts = b.column(at).to_pylist()
             keys = [zlib.crc32(str("" if k is None else k).encode()) for k in b.column(ident).to_pylist()]

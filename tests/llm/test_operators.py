@@ -234,6 +234,18 @@ def test_pieces_round_trip(docs):
     assert all(x["decoded"] == (x["text"] or "") for x in out) and len(out) == docs.count()
 
 
+def test_every_occurrence_has_its_own_draws():
+    m, e = pieces.model(pieces.model_path()), pieces.Encoder(pieces.model_path(), 0.1)
+    for word in ("of", "to", "segmentation"):
+        got = e([" ".join([word] * 500)] * 8, list(range(8)))
+        k = pieces._keyed(pieces._crcs([f"▁{word}"] * 4000), pieces._occurrences(e.seed, list(range(8)), [500] * 8))
+        each = [pieces._long(m, f"▁{word}", int(x), 0.1) for x in k]
+        assert got == [b"".join(each[i : i + 500]) for i in range(0, 4000, 500)]
+        varied = [x != pieces._long(m, f"▁{word}", 0, 0.0) for x in each]
+        assert 0.05 < sum(varied) / 4000 and all(0 < sum(varied[i : i + 500]) < 500 for i in range(0, 4000, 500))
+    assert len(set(each)) > 4
+
+
 def test_heap_and_lockstep_agree():
     m, r = pieces.model(pieces.model_path()), random.Random(2)
     for _ in range(100):
