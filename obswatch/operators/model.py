@@ -26,17 +26,75 @@ def degree_sum(value: Column, threshold: float, hours: float = 24.0) -> Column:
 
 
 def feature_frame(daily: DataFrame, day: str, count: str, level: str, threshold: float) -> DataFrame:
-    """Per day: the last count before it and its age, the level, its change over three days, and the sum of
-    degree hours of three days; rows without a count within 14 days or a level three days ago have a reason."""
+    """Per day: the last count before it and its age, the newest level of the last three days, its change over
+    three days, and the sum of degree hours of three days, as of the level's day; rows without a count within
+    14 days, a level or one three days before it have a reason."""
     k = F.datediff(day, F.lit("1970-01-01").cast("date"))
     w = W.partitionBy(F.lit(0)).orderBy("_k")  # one row a day
     before = w.rangeBetween(-14, -1)
     counted = F.when(F.col(count).isNotNull(), F.struct(F.col(count).alias("c"), F.col("_k").alias("at")))
     out = daily.withColumn("_k", k).withColumn("_last", F.last(counted, ignorenulls=True).over(before))
-    out = out.withColumn("_lag", F.max(level).over(w.rangeBetween(-3, -3)))
-    out = out.withColumn("degree_hours_below", F.sum(degree_sum(F.col(level), threshold)).over(w.rangeBetween(-2, 0)))
-    reason = F.coalesce(F.when(F.col("_last").isNull(), "no count in 14 days"), F.when(F.col(level).isNull(), "no level"), F.when(F.col("_lag").isNull(), "no level three days ago"))
-    return out.withColumn("log_last_count", F.log1p("_last.c")).withColumn("days_since_last_count", (F.col("_k") - F.col("_last.at")).cast("int")).withColumn("change_3d", F.col(level) - F.col("_lag")).withColumn("reason", reason).drop("_k", "_last", "_lag")
+    own = F.struct(F.col(level).alias("level"), F.max(level).over(w.rangeBetween(-3, -3)).alias("lag"), F.sum(F.when(F.col(level).isNotNull(), degree_sum(F.col(level), threshold))).over(w.rangeBetween(-2, 0)).alias("hours"))
+    out = out.withColumn("_own", F.when(F.col(level).isNotNull(), own)).withColumn("_g", F.last("_own", ignorenulls=True).over(w.rangeBetween(-3, 0)))
+    out = out.withColumn("degree_hours_below", F.col("_g.hours"))
+    reason = F.coalesce(F.when(F.col("_last").isNull(), "no count in 14 days"), F.when(F.col("_g").isNull(), "no level"), F.when(F.col("_g.lag").isNull(), "no level three days ago"))
+    return out.withColumn("log_last_count", F.log1p("_last.c")).withColumn("days_since_last_count", (F.col("_k") - F.col("_last.at")).cast("int")).withColumn("change_3d", F.col("_g.level") - F.col("_g.lag")).withColumn("reason", reason).drop("_k", "_last", "_own", "_g")
+
+
+FEATURES = ["log_last_count", "days_since_last_count", "gauge_temp", "gauge_change_3d", "gauge_degree_hours_below", "air_min", "air_degree_days_below"]
+#: Days that a count, a level or a forecast may be old; rows that a training needs.
+COUNT_AGE, LEVEL_LAG, FORECAST_AGE, LEAST_ROWS = 14, 3, 2, 30
+
+
+def forecast_air(forecast: DataFrame, made_on: str) -> DataFrame:
+    """day, low and mean of made_on and the day after, newest known of the forecasts (issued, day, low, mean) of the last days."""
+    today = F.lit(made_on).cast("date")
+    recent = forecast.where(F.col("issued").between(F.date_sub(today, FORECAST_AGE), today) & F.col("day").between(today, F.date_add(today, 1)))
+    return newest_known(recent, ["day"], ["low", "mean"], "issued")
+
+
+def feature_rows(days: DataFrame, counts: DataFrame, levels: DataFrame, air: DataFrame, threshold: float) -> DataFrame:
+    """Per day of days, a prediction for the day after it: made_on, target, last_count, the FEATURES, and the
+    reason for which they can't be built. counts has day and count, levels day and level, air day, low and
+    mean, each a row a day. The level is the newest within LEVEL_LAG days; its change and sums are as of its day."""
+    known = days.select("day", F.lit(True).alias("_asked"))
+    for other in (counts.select("day", "count"), levels.select("day", "level"), air.select("day", "low", "mean")):
+        known = known.join(other, "day", "full")
+    w = W.partitionBy(F.lit(0)).orderBy("_k")  # one row a day
+    below = lambda v: F.greatest(F.lit(0.0), F.lit(threshold) - v)
+    out = known.withColumn("_k", F.datediff("day", F.lit("1970-01-01").cast("date")))
+    out = out.withColumn("_back", F.max("level").over(w.rangeBetween(-3, -3))).withColumn("_hours", F.sum(F.when(F.col("level").isNotNull(), degree_sum(F.col("level"), threshold))).over(w.rangeBetween(-2, 0)))
+    out = out.withColumn("_last", F.last(F.when(F.col("count").isNotNull(), F.struct(F.col("count").alias("c"), F.col("_k").alias("at"))), ignorenulls=True).over(w.rangeBetween(W.unboundedPreceding, 0)))
+    out = out.withColumn("_g", F.last(F.when(F.col("level").isNotNull(), F.struct("level", "_back", "_hours")), ignorenulls=True).over(w.rangeBetween(-LEVEL_LAG, 0)))
+    out = out.withColumn("_low", F.max("low").over(w.rangeBetween(1, 1))).withColumn("_mean", F.max("mean").over(w.rangeBetween(1, 1)))
+    age = F.col("_k") + 1 - F.col("_last.at")
+    reason = F.coalesce(
+        F.when(F.col("_last").isNull(), "no count on or before the day"), F.when(age > COUNT_AGE, f"last count over {COUNT_AGE} days before the target"),
+        F.when(F.col("_g").isNull(), "no recent level"), F.when(F.col("_g._back").isNull(), "no level three days earlier"),
+        F.when(F.col("_low").isNull() | F.col("_mean").isNull(), "no air for the target"), F.when(F.col("mean").isNull(), "no air for the day"),
+    )
+    values = [F.log1p("_last.c"), age.cast("double"), F.col("_g.level"), F.col("_g.level") - F.col("_g._back"), F.col("_g._hours"), F.col("_low"), below(F.col("mean")) + below(F.col("_mean"))]
+    return out.where("_asked").select(F.col("day").alias("made_on"), F.date_add("day", 1).alias("target"), F.col("_last.c").alias("last_count"), *(F.when(reason.isNull(), v).alias(n) for n, v in zip(FEATURES, values, strict=True)), reason.alias("reason"))
+
+
+def training_frame(counts: DataFrame, levels: DataFrame, air: DataFrame, threshold: float, today: str) -> DataFrame:
+    """A row for each counted day up to today, with the features as of the day before; rows that can't be built are left out."""
+    targets = counts.where(F.col("count").isNotNull() & (F.col("day") <= F.lit(today).cast("date")))
+    rows = feature_rows(targets.select(F.date_sub("day", 1).alias("day")), counts, levels, air, threshold).where("reason is null")
+    return rows.join(targets.select(F.col("day").alias("target"), "count"), "target")
+
+
+def train(frame: DataFrame, features: list[str] = FEATURES, y: str = "count") -> Fit | None:
+    """The fit, or None if there are too few rows."""
+    return fit(frame, features, y) if frame.count() >= LEAST_ROWS else None
+
+
+def daily_prediction(fitted: Fit | None, season_open: bool, made_on: str, counts: DataFrame, levels: DataFrame, forecast: DataFrame, threshold: float) -> DataFrame | None:
+    """The row of made_on with predicted, null if it has a reason; None out of season or without a model."""
+    if not season_open or fitted is None:
+        return None
+    day = counts.sparkSession.range(1).select(F.lit(made_on).cast("date").alias("day"))
+    return predicted(feature_rows(day, counts, levels, forecast_air(forecast, made_on), threshold), fitted)
 
 
 def errors(scored: DataFrame, predicted: str, persistence: str, actual: str) -> DataFrame:
@@ -87,7 +145,10 @@ def glm(frame: DataFrame, features: list[str], y: str, alpha: float = 0.0, round
         eta = _linear(xs, beta)
         mu = F.exp(eta)
         a, b = _sums(frame, xs, mu / (1 + F.lit(alpha) * mu), eta + (F.col(y) - mu) / mu)
-        new = np.linalg.solve(a, b)
+        try:
+            new = np.linalg.solve(a, b)
+        except np.linalg.LinAlgError:  # a feature without variation gets the least coefficients
+            new = np.linalg.pinv(a, hermitian=True) @ b
         if not np.isfinite(new).all():
             raise ValueError("coefficients are not finite")
         if np.abs(new - beta).max() <= tolerance * (1 + np.abs(beta).max()):

@@ -58,21 +58,24 @@ def degree_hours(spark, sf):
 
 
 def _training(spark, sf):
-    out = model.feature_frame(_both(spark, sf), "obs_date", "cnt", "quantity", 27.0)
-    return out.where("reason is null and cnt is not null").select("cnt", "log_last_count", "change_3d").withColumn("change_3d", F.col("change_3d") / 10)
+    """Counts, levels, and as air the mean discount of a day's items, scaled to about 27, and a deviation under it."""
+    both, day, air = _both(spark, sf), F.col("obs_date").alias("day"), F.col("l_discount").cast("double") * 540
+    air = read(spark, sf, "lineitem").groupBy(F.to_date("l_shipdate").alias("day")).agg((F.avg(air) - F.stddev(air)).alias("low"), F.avg(air).alias("mean"))
+    return model.training_frame(both.select(day, F.col("cnt").alias("count")), both.select(day, F.col("quantity").cast("double").alias("level")), air, 27.0, "1998-12-31")
 
 
 @query()
 def poisson_fit(spark, sf):
     f = _training(spark, sf).persist()
-    beta = model.glm(f, ["log_last_count", "change_3d"], "cnt")
+    enough = f.count() >= model.LEAST_ROWS
+    beta = model.glm(f, model.FEATURES, "count") if enough else []
     f.unpersist()
-    return spark.createDataFrame([(n, round(float(b), 6)) for n, b in zip(["const", "log_last_count", "change_3d"], beta, strict=True)], "name string, coefficient double")
+    return spark.createDataFrame([(n, round(float(b), 6)) for n, b in zip(["const", *model.FEATURES] if enough else [], beta, strict=True)], "name string, coefficient double")
 
 
 @query()
 def negative_binomial_fit(spark, sf):
     f = _training(spark, sf).persist()
-    got = model.fit(f, ["log_last_count", "change_3d"], "cnt")
+    got = model.train(f)
     f.unpersist()
-    return spark.createDataFrame([(got.family, got.alpha, got.to_json())], "family string, alpha double, params string")
+    return spark.createDataFrame([(got.family, got.alpha, got.to_json())] if got else [], "family string, alpha double, params string")

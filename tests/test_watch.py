@@ -173,6 +173,30 @@ def test_regressions(spark):
     assert model.retrain_reason(True, 9, 2.0, 1.0, True, False) is None and model.version_id("2027-01-13", 1) == "m20270113-2"
 
 
+def test_features_as_of_a_day(spark):
+    days = [D(2025, 1, 1) + dt.timedelta(days=i) for i in range(60)]
+    counts = spark.createDataFrame([(d, float(50 + i % 7)) for i, d in enumerate(days) if i != 20], "day date, count double")
+    levels = spark.createDataFrame([(d, 20.0 + i % 5) for i, d in enumerate(days) if i not in (10, 11, 30, 31, 32, 33)], "day date, level double")
+    air = spark.createDataFrame([(d, 10.0 + i % 3, 18.0 + i % 4) for i, d in enumerate(days) if i != 40], "day date, low double, mean double")
+    got = {x.made_on: x for x in model.feature_rows(counts.select("day"), counts, levels, air, 20.5).collect()}
+    late = got[days[11]]  # the level of two days before
+    assert late.reason is None and (late.gauge_temp, late.gauge_change_3d, late.gauge_degree_hours_below) == (24.0, 3.0, 0.0)
+    assert (late.days_since_last_count, late.air_min, late.air_degree_days_below) == (1.0, 10.0, 0.0 + 2.5)
+    assert got[days[33]].reason == "no recent level" and got[days[39]].reason == "no air for the target" and got[days[40]].reason == "no air for the day"
+    frame = model.training_frame(counts, levels, air, 20.5, "2025-02-20").persist()
+    rows = frame.collect()
+    assert all((x.target - x.made_on).days == 1 and x["count"] == 50 + days.index(x.target) % 7 for x in rows) and days[40] not in {x.target for x in rows}
+    assert model.train(frame.limit(29)) is None
+    fitted = model.train(frame)
+    assert fitted.features == model.FEATURES and len(fitted.coefficients) == 8
+    forecast = spark.createDataFrame([(days[49], days[50], 12.0, 19.0), (days[50], days[50], None, 20.0), (days[50], days[51], 11.0, 21.0), (days[47], days[51], 0.0, 0.0)], "issued date, day date, low double, mean double")
+    out = model.daily_prediction(fitted, True, str(days[50]), counts, levels, forecast, 20.5).collect()
+    assert len(out) == 1 and out[0].reason is None and out[0].predicted > 0 and (out[0].air_min, out[0].air_degree_days_below) == (11.0, 0.5)
+    assert model.daily_prediction(fitted, False, str(days[50]), counts, levels, forecast, 20.5) is None
+    frame = spark.createDataFrame([(d, 5.0, 20.0 if i not in (6, 7) else None) for i, d in enumerate(days[:10])], "day date, c double, level double")
+    assert {x.day: x.reason for x in model.feature_frame(frame, "day", "c", "level", 21.0).collect()}[days[7]] is None
+
+
 def test_newest_known_skips_nulls(spark):
     df = spark.createDataFrame([("a", 1, 1.0), ("a", 2, None)], "k string, at int, v double")
     assert model.newest_known(df, ["k"], ["v"], "at").first().v == 1.0
