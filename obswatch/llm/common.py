@@ -122,6 +122,18 @@ def settle(own: str | None = None) -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+@contextlib.contextmanager
+def no_cycles() -> Iterator[None]:
+    """Stops the search for cycles while millions of strings without any are made."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def _arrow(kind: T.DataType) -> pa.DataType:
     from pyspark.sql.pandas.types import to_arrow_type
 

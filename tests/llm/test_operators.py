@@ -297,24 +297,111 @@ def test_scores(spark, docs):
     assert maxent.score(rows.limit(0)).count() == 0
 
 
-def test_class_probabilities_sum_to_one():
+def _places(words, own):
+    """Class and slot of every word, by a dictionary."""
+    out = maxent.own_places(own)
+    return {w: out.get(w) or (maxent.class_of(w), maxent.slot_of(w)) for w in words}
+
+
+def _hash(k, bits):
+    k &= 0xFFFFFFFF
+    for m in (0x85EBCA6B, 0xC2B2AE35):
+        k = ((k ^ (k >> (16 if m == 0x85EBCA6B else 13))) * m) & 0xFFFFFFFF
+    return (k ^ (k >> 16)) & ((1 << bits) - 1)
+
+
+def _features(seq, i, place, level, bits):
+    """Rows of the features of the i-th token, one by one."""
+    import xxhash
+
+    word = lambda j: xxhash.xxh3_64_intdigest(seq[j]) & 0xFFFFFFFF if j >= 0 else 0
+    cls = lambda j: place[seq[j]][0] if j >= 0 else maxent.CLASSES
+    keys = [word(i - 1), word(i - 2) + 0x51ED270B, (word(i - 1) * 0x9E3779B1 & 0xFFFFFFFF) ^ word(i - 2)]
+    if level == 0:
+        keys += [cls(i - 1) * 64 + cls(i - 2) + (1 << 20), cls(i - 2) * 64 + cls(i - 3) + (1 << 21)]
+    else:
+        keys = [((k & 0xFFFFFFFF) ^ (cls(i) * 0x2545F491 & 0xFFFFFFFF)) * 0x9E3779B1 + n for n, k in enumerate(keys)]
+    return [_hash(k, bits) for k in keys]
+
+
+def dense_scores(rows):
+    """The model token by token, with dictionaries and whole softmaxes: score by key."""
+    texts = [(k, maxent.tokens(t), good, zlib.crc32((t or "").encode()) % maxent.ROUNDS) for k, t, good in rows]
+    counts = Counter(w for _, ws, good, _ in texts if good for w in ws)
+    own = [w for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[: maxent.FREQUENT]]
+    place = _places({w for _, ws, _, _ in texts for w in ws}, own)
+    mine = set(maxent.own_places(own))
+    number = lambda w: int(maxent.cell(np.array([place[w][0]]), np.array([place[w][1]]))[0])
+    totals = np.ones(maxent.CELLS)
+    for w, c in counts.items():
+        totals[number(w)] += c + 1 - (w in mine)
+    model = maxent.start(own, totals, sum(counts.values()))
+
+    def chances(seq, i, level, weights):
+        c = place[seq[i]][0]
+        z = (model.biases[0] if level == 0 else model.biases[1][c]).astype(float) + sum(weights[level][r].astype(float) for r in _features(seq, i, place, level, model.bits))
+        z = np.exp(z - z.max())
+        return z / z.sum()
+
+    def levels(seq, i):
+        return [0] if place[seq[i]][0] < maxent.OWN else [0, 1]
+
+    weights = [w.copy() for w in model.weights]
+    for part in [None, *range(maxent.ROUNDS)]:
+        seen, expected = ([np.zeros(w.shape) for w in weights] for _ in range(2))
+        for _, seq, good, piece in texts:
+            for i in range(len(seq)) if good and part in (None, piece) else ():
+                for level in levels(seq, i):
+                    if part is not None and level != part % 2:
+                        continue
+                    guess = None if part is None else chances(seq, i, level, weights)
+                    for r in _features(seq, i, place, level, model.bits):
+                        seen[level][r, place[seq[i]][level]] += 1
+                        if part is not None:
+                            expected[level][r] += guess
+        if part is None:
+            expected = [maxent.first_expected(x, model, n) for n, x in enumerate(seen)]
+        weights = [maxent.step(w, a, b, (maxent.FIRST_RATE if part is None else maxent.RATE) / f) for w, a, b, (f, _) in zip(weights, seen, expected, maxent.LEVELS, strict=True)]
+    return {k: sum(sum(np.log10(chances(seq, i, level, weights)[place[seq[i]][level]]) for level in levels(seq, i)) + np.log10((counts[seq[i]] + 1) / totals[number(seq[i])]) for i in range(len(seq))) for k, seq, _, _ in texts}
+
+
+def _prose(n):
+    r = random.Random(8)
+    return [(i, " ".join(r.choice(WORDS[:60]) + r.choice(["", "", "x", "ing"]) for _ in range(r.randint(1, 40))) if i % 11 else None, i % 5 != 0) for i in range(n)]
+
+
+def test_score_equals_a_dense_model(spark):
+    rows = _prose(60)
+    want = dense_scores(rows)
+    got = {x["key"]: x["score"] for x in maxent.score(spark.createDataFrame(rows, "doc_id long, text string, learn boolean").repartition(3)).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-4 * max(1, abs(want[k])) for k in want)
+
+
+def test_scores_do_not_depend_on_partitions(spark):
+    df = spark.createDataFrame(_prose(300), "doc_id long, text string, learn boolean")
+    one, many = ({x["key"]: x["score"] for x in maxent.score(df.repartition(n)).collect()} for n in (1, 16))
+    assert all(abs(one[k] - many[k]) <= 1e-6 * abs(one[k]) for k in one)
+
+
+def test_probabilities_sum_to_one():
     r = np.random.default_rng(1)
-    w, b = r.normal(size=(maxent.ROWS, maxent.CLASSES)).astype(np.float32), np.zeros(maxent.CLASSES, np.float32)
-    logs = maxent._log_softmax(w, b, r.integers(0, maxent.ROWS, (50, maxent.FEATURES)))
-    assert np.allclose(np.exp(logs).sum(1), 1, atol=1e-4)
-
-
-def test_model_keeps_its_features_and_classes(spark):
-    def rows(c1, w1):
-        return set(maxent._rows(np.array([3, 4, c1, 0], np.uint32), np.array([7, 8, w1, 0], np.uint32), np.array([3])).ravel().tolist())
-
-    assert len(rows(5, 9)) == 5 and len(rows(5, 9) - rows(6, 9)) == 1 and len(rows(5, 9) - rows(5, 9 + (1 << 16))) == 2
-    df = spark.createDataFrame([(1, "often soften often", True)], "doc_id long, text string, learn boolean")
-    blob = maxent.blocks(df, "doc_id", "text", "learn").where("blob is not null").first()["blob"]
-    _, _, _, ids, hashes, classes = maxent._opened(blob, [(0, 0)])  # the first word is a class of its own
-    assert ids.tolist() == [0, 1, 0, 2] and classes.tolist() == [0, maxent.class_of(b"soften"), maxent.class_of(b"")]
-    assert maxent.class_of(b"soften") == maxent.class_of(b"often") >= maxent.OWN and maxent.ROWS >= 1 << 14
-    assert hashes.tolist() == [zlib.crc32(w) for w in (b"often", b"soften", b"")]
+    w, b = r.normal(size=(1 << 12, 32)).astype(np.float32), np.zeros(32, np.float32)
+    assert np.allclose(np.exp(maxent._log_softmax(w, b, r.integers(0, 1 << 12, (5, 50)))).sum(1), 1, atol=1e-4)
+    # cells and their words: the shares of all words and of one unseen word for each shared slot
+    counts = Counter(f"w{i % 900}".encode() for i in range(9000))
+    own = [x for x, _ in counts.most_common(maxent.FREQUENT)]
+    place = _places(counts, own)
+    totals = np.ones(maxent.CELLS)
+    for x, c in counts.items():
+        totals[int(maxent.cell(np.array([place[x][0]]), np.array([place[x][1]]))[0])] += c + (x not in maxent.own_places(own))
+    assert np.isclose(sum(c + (x not in maxent.own_places(own)) for x, c in counts.items()) + maxent.CELLS, totals.sum())
+
+
+def test_context_tells_words_of_a_class_apart(spark):
+    filler = " ".join(f"f{i}" for i in range(maxent.OWN)) + " "
+    rows = [(i, 2 * filler + "aa xing bb ying", True) for i in range(400)] + [(1000, "aa xing bb ying", False), (1001, "aa ying bb xing", False)]
+    got = {x["key"]: x["score"] for x in maxent.score(spark.createDataFrame(rows, "doc_id long, text string, learn boolean")).collect()}
+    assert maxent.class_of(b"xing") == maxent.class_of(b"ying") and got[1000] > got[1001] + 0.3
 
 
 def test_sharding(spark):
