@@ -140,29 +140,31 @@ def _arrow(kind: T.DataType) -> pa.DataType:
     return to_arrow_type(kind)
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected edges (a, b) with a < b: rows (node, root), root the smallest node.
 
-    Alternates the large-star and small-star steps of Kiveris et al. (2014), whose rounds grow with the
-    logarithm of the longest path. Stars are formed by grouped minima and joins, so that no group of
-    neighbours meets in one row; each round is written to the shared folder, and the last one dropped.
+    Alternates the large-star and small-star steps of Kiveris et al. (2014) until nothing changes; rounds grow
+    with the logarithm of the longest path. Stars are formed by grouped minima and joins, so that no group of
+    neighbours meets in one row. Of many edges, minima are written before they are joined: both sides of a join
+    then come from files, and the leaves of one star are split among tasks. Each round is written too, and the
+    last one dropped.
     """
     now = written(edges.select("a", "b").where(F.col("a") != F.col("b")).distinct())
-    for _ in range(max_rounds):
+    seen = _digest(now)
+    while True:
+        held = written if seen[0] > FEW else lambda df: df  # a step of few edges is one job
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).union(now.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("m").alias("a"), F.col("v").alias("b")).where("a < b").distinct()
+        low = held(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        large = held(both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("m").alias("a"), F.col("v").alias("b")).where("a < b").distinct())
         # small star: every node with its smaller neighbours and itself, tied to the smallest of them
-        least = large.groupBy(F.col("b").alias("u")).agg(F.min("a").alias("m"))
+        least = held(large.groupBy(F.col("b").alias("u")).agg(F.min("a").alias("m")))
         small = large.join(least, large["b"] == least["u"]).select(F.col("m").alias("x"), F.col("a").alias("y")).union(least.select(F.col("m"), F.col("u")))
         after = written(small.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-        changed = _digest(now) != _digest(after)
-        drop_written(now)
-        now = after
-        if not changed:
+        for done in (now, low, large, least) if held is written else (now,):
+            drop_written(done)
+        now, before, seen = after, seen, _digest(after)
+        if seen == before:
             break
-    else:
-        raise RuntimeError("components did not settle")
     stars = now.select(F.col("b").alias("node"), F.col("a").alias("root"))
     return stars.union(now.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
 

@@ -1,42 +1,53 @@
 """N-gram Jaccard join: MinHash LSH forest, then exact verification.
 
 A text is the set of its runs of five successive words (all its words, if it has fewer). Distinct texts
-get a signature of ``trees`` labels: a label is a path in a prefix trie, one minimum hash a level. How
-many levels two paths must share is adapted to the target: starting at ``max_depth``, prefixes are
-shortened until a pair at the threshold itself meets in some tree with probability ``recall``. Texts that
-share such a prefix are tied to the smallest of their group, never to each other, and the connected
-groups of those ties are the places where pairs are verified. There, blocks of texts are compared block
-by block: pairs that share no prefix are passed over, the sizes of the others' intersections come from
-products of sparse incidence matrices, so that each pair is decided once and exactly. No row is made for
-a pair; blocks return counts of links and the ties of a spanning forest.
+get a path of ``max_depth`` minimum hashes in each of ``trees`` prefix tries. Texts without a partner at the
+shortest prefix that the target could ever need (at which a pair at the threshold itself meets with
+probability ``recall``) leave at once; the tries of the others are kept. The rounds start at whole paths and
+shorten matched prefixes level by level, at the nodes of a trie that branch there: pairs that meet for the
+first time are verified. After each round the links found tell how many are missed: a text whose least
+similar link has similarity s meets such a partner with probability 1 - (1 - s^depth)^trees, and a text
+counts as many times as the inverse says. Rounds end when that estimate of the recall reaches the target,
+at the shortest prefix at the latest.
+
+A pair is verified at one place. Places are connected groups of candidates, whose blocks of texts are
+compared block by block; where a group is only chained together, so that this would send more texts, its
+shared prefixes are places of their own, the large ones split into blocks too, and a pair belongs to the
+first tree in which it meets. Intersections come from products of sparse incidence matrices, so that each
+pair is decided exactly. No row is made for a pair; blocks return counts of links, the least similar link
+and the ties of a spanning forest.
 
 Defined results: copies of a text count as one text, whose links they share; a null text or one without
 a word has no link and forms a class with its copies only; a null or repeated id changes nothing. The
-class id is the smallest id in the class (null if all are).
+class id is the smallest id in the class (null if all are, when class_key still tells classes apart). Only
+the named columns are used, so that others never clash.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obswatch.llm.common import components, drop_written, few, grouped, runs, settle, ship, table, written
+from obswatch.llm.common import components, drop_written, grouped, runs, settle, ship, table, written
 
 WORDS, THRESHOLD = 5, 0.8
 TREES, MAX_DEPTH, RECALL = 24, 8, 0.9995
-#: Texts in a block of verification.
-BLOCK = 256
+#: Texts, and about as many bytes, in a block of verification.
+BLOCK, BLOCK_BYTES = 256, 32 << 20
+#: Similarities are counted in so many steps for each hundredth.
+STEPS = 1
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def forest_depth(threshold: float = THRESHOLD, trees: int = TREES, max_depth: int = MAX_DEPTH, recall: float = RECALL) -> int:
-    """The longest prefix, max_depth at most, at which pairs at the threshold meet as often as asked."""
+def shortest_depth(threshold: float = THRESHOLD, trees: int = TREES, max_depth: int = MAX_DEPTH, recall: float = RECALL) -> int:
+    """The longest prefix, max_depth at most, at which even pairs at the threshold itself meet as often as asked."""
     depth = max_depth
     while depth > 1 and 1 - (1 - threshold**depth) ** trees < recall:
         depth -= 1
@@ -74,17 +85,13 @@ class Shingler:
         return np.unique(out)
 
 
-def signature(shingles: np.ndarray, trees: int, depth: int, seeds: np.ndarray) -> np.ndarray:
-    """The label of the prefix of so many levels in each tree."""
+def paths(shingles: np.ndarray, trees: int, depth: int, seeds: np.ndarray) -> np.ndarray:
+    """The path in each tree: depth minimum hashes of four bytes."""
     low = np.full(trees * depth, np.uint64(0xFFFFFFFFFFFFFFFF), np.uint64)
     for a in range(0, len(shingles), 512):
         x = shingles[a : a + 512, None] * seeds[0] + seeds[1]
         np.minimum(low, x.min(0), out=low)
-    low = _mix(low).reshape(trees, depth)
-    label = np.arange(trees, dtype=np.uint64) * _ODD
-    for i in range(depth):
-        label = _mix(label * _ODD + low[:, i])
-    return label.view(np.int64)
+    return (_mix(low) >> np.uint64(32)).astype(">u4")
 
 
 def _seeds(n: int) -> np.ndarray:
@@ -93,20 +100,23 @@ def _seeds(n: int) -> np.ndarray:
 
 
 def signed(docs: DataFrame, key: str, text: str, trees: int, depth: int) -> DataFrame:
-    """key, node (md5 of the text) and labels of every row; no labels without a word."""
+    """key, node (md5 of the text), its bytes and its paths, of every row; no paths without a word."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         settle()
-        shingle, seeds, names = Shingler(), _seeds(trees * depth), ["key", "node", "labels"]
+        shingle, seeds, names = Shingler(), _seeds(trees * depth), ["key", "node", "size", "paths"]
         for b in batches:
-            texts = b.column(2).to_pylist()
+            texts = b.column(3).to_pylist()
             for x, y in runs(texts):
                 sets = [shingle(t) for t in texts[x:y]]
-                labels = pa.array([signature(s, trees, depth, seeds) if len(s) else [] for s in sets], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(x, y - x), b.column(1).slice(x, y - x), labels], names=names)
+                found = [paths(s, trees, depth, seeds).tobytes() for s in sets if len(s)]
+                many = trees * len(found)
+                flat = pa.Array.from_buffers(pa.binary(), many, [None, pa.py_buffer(np.arange(0, 4 * depth * many + 1, 4 * depth, dtype=np.int32)), pa.py_buffer(b"".join(found))])
+                at = np.concatenate([[0], np.cumsum([trees * (len(s) > 0) for s in sets])]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([*(b.column(i).slice(x, y - x) for i in range(3)), pa.ListArray.from_arrays(pa.array(at, pa.int32()), flat)], names=names)
 
-    rows = docs.select(F.col(key).alias("key"), _node(text).alias("node"), F.col(text).alias("text"))
-    return rows.mapInArrow(task, f"key {docs.schema[key].dataType.simpleString()}, node string, labels array<long>")
+    rows = docs.select(F.col(key).alias("key"), _node(text).alias("node"), F.coalesce(F.octet_length(text), F.lit(0)).alias("size"), F.col(text).alias("text"))
+    return rows.mapInArrow(task, f"key {docs.schema[key].dataType.simpleString()}, node string, size int, paths array<binary>")
 
 
 def _node(text: str):
@@ -150,18 +160,30 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray], wanted: np.ndarra
     return out
 
 
-def _linked(left: tuple, right: tuple, threshold: float, same: bool) -> np.ndarray:
-    """Which pairs of two blocks (shingle sets, labels) share a prefix and reach the threshold."""
-    wanted = np.zeros((len(left[0]), len(right[0])), bool)
-    for t in range(left[1].shape[1]):
-        wanted |= left[1][:, t, None] == right[1][None, :, t]
+def _share(left: np.ndarray, right: np.ndarray, trees: range) -> np.ndarray:
+    out = np.zeros((len(left), len(right)), bool)
+    for t in trees:
+        out |= left[:, t, None] == right[None, :, t]
+    return out
+
+
+def _similar(left: tuple, right: tuple, threshold: float, same: bool, tree: int) -> np.ndarray:
+    """Similarities of the pairs of two blocks (shingle sets, labels, labels one level down) that are to be
+    decided here and reach the threshold; 0 elsewhere."""
+    every = range(left[1].shape[1])
+    if tree < 0:
+        wanted = _share(left[1], right[1], every)
+    else:  # all meet in this tree; those that meet in an earlier one are decided there
+        wanted = ~_share(left[1], right[1], every[:tree])
+    if left[2].size:
+        wanted &= ~_share(left[2], right[2], every)
     size_a, size_b = np.array([len(s) for s in left[0]]), np.array([len(s) for s in right[0]])
     wanted &= np.minimum.outer(size_a, size_b) >= threshold * np.maximum.outer(size_a, size_b) - 1e-9
     if same:
         wanted &= ~np.eye(len(wanted), dtype=bool)
     common = _overlaps(left[0], right[0], wanted)
     union = size_a[:, None] + size_b[None, :] - common
-    return wanted & (common * 1.0 >= threshold * union - 1e-9)
+    return np.where(wanted & (common * 1.0 >= threshold * union - 1e-9), common / np.maximum(union, 1), 0.0)
 
 
 def _forest(pairs: np.ndarray, n: int) -> list[tuple[int, int]]:
@@ -183,67 +205,119 @@ def _forest(pairs: np.ndarray, n: int) -> list[tuple[int, int]]:
     return kept
 
 
-def verify(places: DataFrame, threshold: float) -> DataFrame:
-    """From rows (place, i, j, side, node, labels, text), one place and block pair each: (node, links, tie).
+def verify(dealt: DataFrame, threshold: float) -> DataFrame:
+    """From rows (place, tree, i, j, side, node, labels, deeper, text), one place and block pair each: (node, links, least, tie).
 
-    Rows with a tie say that two nodes are linked; the others count links of a node.
+    Rows with a tie say that two nodes are linked; the others count links of a node and have its least similarity.
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         settle()
         shingle = Shingler()
-        for (_, i, j), data in grouped(batches, ["place", "i", "j"]):
+        for (_, tree, i, j), data in grouped(batches, ["place", "tree", "i", "j"]):
             blocks = {}
             for side in (i,) if i == j else (i, j):
                 at = {n: x for x, (n, b) in enumerate(zip(data["node"], data["side"], strict=True)) if b == side}
-                names = sorted(at)
-                blocks[side] = ([shingle(data["text"][at[n]]) for n in names], np.array([data["labels"][at[n]] for n in names], np.int64).reshape(len(names), -1), names)
-            a, b = blocks[i], blocks.get(j, blocks[i])
-            if not a[2] or not b[2]:
+                if at:
+                    names = sorted(at)
+                    labels, deeper = (np.array([data[c][at[n]] for n in names], np.int64).reshape(len(names), -1) for c in ("labels", "deeper"))
+                    blocks[side] = ([shingle(data["text"][at[n]]) for n in names], labels, deeper, names)
+            if i not in blocks or j not in blocks:
                 continue
-            hit = _linked(a, b, threshold, i == j)
-            links = {n: int(c) for n, c in zip(a[2], hit.sum(1), strict=True)}
-            if i != j:
-                links |= {n: int(c) for n, c in zip(b[2], hit.sum(0), strict=True)}
-            shift = 0 if i == j else len(a[2])
+            a, b = blocks[i], blocks[j]
+            near = _similar(a, b, threshold, i == j, tree)
+            hit = near > 0
+            links, least = Counter(), {}
+            for names, axis in ((a[3], 1), (b[3], 0))[: 1 if i == j else 2]:
+                for n, c, s in zip(names, hit.sum(axis), np.where(hit, near, 2.0).min(axis), strict=True):
+                    if c:
+                        links[n], least[n] = int(c), float(s)
+            shift = 0 if i == j else len(a[3])
             pairs = np.argwhere(np.triu(hit) if i == j else hit) + [0, shift]
-            names = a[2] + (b[2] if i != j else [])
+            names = a[3] + (b[3] if i != j else [])
             ties = [sorted((names[x], names[y])) for x, y in _forest(pairs, len(names))]
-            counted = [(n, c) for n, c in links.items() if c]
+            nodes = [*links, *(x for x, _ in ties)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([n for n, _ in counted] + [x for x, _ in ties], pa.string()), pa.array([c for _, c in counted] + [0] * len(ties), pa.int64()), pa.array([None] * len(counted) + [y for _, y in ties], pa.string())],
-                names=["node", "links", "tie"],
+                [pa.array(nodes, pa.string()), pa.array([*links.values(), *[0] * len(ties)], pa.int64()), pa.array([least.get(n) if k < len(links) else None for k, n in enumerate(nodes)], pa.float64()), pa.array([None] * len(links) + [y for _, y in ties], pa.string())],
+                names=["node", "links", "least", "tie"],
             )
 
-    return places.mapInArrow(task, "node string, links long, tie string")
+    return dealt.mapInArrow(task, FOUND)
 
 
-def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, trees: int = TREES, max_depth: int = MAX_DEPTH, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
-    """For every row: key, node, root (the class by node), class_id and n_links, the number of other texts it is linked to."""
-    depth = forest_depth(threshold, trees, max_depth, recall)
-    rows = written(signed(docs, key, text, trees, depth))
-    nodes = rows.groupBy("node").agg(F.first("labels").alias("labels"))  # equal texts, equal labels
-    paths = nodes.select("node", F.explode("labels").alias("label"))
-    # the smallest node of each shared prefix; groups of one don't come back
-    heads = paths.groupBy("label").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1").select("label", "head")
-    ties = paths.join(heads, "label").where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"))
-    places = written(components(ties).select("node", F.col("root").alias("place")))
-    sizes = places.groupBy("place").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    side = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    spots = places.join(sizes, "place").withColumn("side", side)
+FOUND = "node string, links long, least double, tie string"
+
+
+def _labels(depth: int) -> Column:
+    """One label for each tree: its number and the first levels of the path."""
+    return F.transform("paths", lambda p, i: F.xxhash64(i, F.substring(p, 1, 4 * depth)))
+
+
+def _blocks(n: Column, size: Column, block: int) -> Column:
+    return F.ceil(F.greatest(n / block, size / BLOCK_BYTES, F.lit(1))).cast("int")
+
+
+def meetings(forest: DataFrame, depth: int, whole: int, block: int) -> DataFrame:
+    """Where the texts of the forest that share a prefix of this length, but not in that tree a longer one, are
+    compared: rows (place, tree, i, j, side, node); tree is -1 where a place is a connected group."""
+    each = forest.select("place", "node", "size", F.posexplode(_labels(depth)).alias("tree", "label"), _labels(depth + 1).alias("deeper")).withColumn("deep", F.expr("deeper[tree]")).drop("deeper")
+    branches = F.lit(True) if depth == whole else F.min("deep") != F.max("deep")
+    groups = each.groupBy("label").agg(F.first("place").alias("place"), F.first("tree").alias("tree"), F.count("*").alias("n"), F.sum("size").alias("bytes"), F.bit_xor(F.xxhash64("node")).alias("print"), branches.alias("branches"))
+    groups = groups.where("n > 1 and branches").withColumn("blocks", _blocks(F.col("n"), F.col("bytes"), block)).drop("branches", "bytes")
+    groups = written(groups)
+    # prefixes of the same texts: one of them will do
+    first = groups.groupBy("place", "n", "print").agg(F.min(F.struct("tree", "label", "blocks")).alias("g")).select("place", "n", "g.*")
+    active = written(each.join(groups.select("label"), "label", "left_semi").select("place", "node", "size").distinct())
+    chained = first.groupBy("place").agg(F.sum(F.col("n") * F.col("blocks")).alias("sent"))
+    sizes = active.groupBy("place").agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).withColumn("blocks", _blocks(F.col("n"), F.col("bytes"), block)).join(chained, "place")
+    sizes = written(sizes.withColumn("apart", F.col("sent") < F.col("n") * F.col("blocks")).select("place", "blocks", "apart"))
+    together = active.join(sizes.where("not apart").select("place", "blocks"), "place").select(F.col("place"), F.lit(-1).alias("tree"), "node", "blocks")
+    own = first.join(sizes.where("apart").select("place"), "place", "left_semi").select("label", "blocks")
+    apart = each.join(own, "label").select(F.col("label").cast("string").alias("place"), "tree", "node", "blocks")
+    spots = together.unionByName(apart).withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # every pair of blocks is one group; a text goes to as many groups as its place has blocks
     spots = spots.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    spots = spots.select("node", "place", "side", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
-    # one row of each text: of equal texts, that with the smallest key is fetched
-    chosen = rows.groupBy("node").agg(F.min("key").alias("key"), F.first("labels").alias("labels")).join(places.select("node"), "node", "left_semi")
-    texts = docs.select(F.col(key).alias("key"), _node(text).alias("node"), F.col(text).alias("text"))
-    asked = few(chosen.select("node", "key"), places.count())
-    fetched = texts.join(asked, (texts["node"] == asked["node"]) & texts["key"].eqNullSafe(asked["key"]), "left_semi").select("node", "text").dropDuplicates(["node"])
-    dealt = spots.join(chosen.drop("key"), "node").join(fetched, "node").select("place", "i", "j", "side", "node", "labels", "text")
-    found = written(verify(dealt.repartition("place", "i", "j").sortWithinPartitions("place", "i", "j"), threshold))
-    links = found.where("tie is null").groupBy("node").agg(F.sum("links").alias("n_links"))
+    return spots.select("place", "tree", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "node")
+
+
+def recall_estimate(least: dict[int, int], depth: int, trees: int) -> float:
+    """The share of texts whose least similar link was to be met, from counts of texts by that similarity's step."""
+    found = sum(least.values())
+    asked = sum(n / max(1e-9, 1 - (1 - min(1.0, step / (100 * STEPS)) ** depth) ** trees) for step, n in least.items())
+    return found / asked if found else 1.0
+
+
+def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, trees: int = TREES, max_depth: int = MAX_DEPTH, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
+    """For every row: key, node, class_key (a node that names the class), class_id and n_links, the number of other texts it is linked to."""
+    floor = shortest_depth(threshold, trees, max_depth, recall)
+    rows = written(signed(docs, key, text, trees, max_depth))
+    short = rows.select("node", F.explode(_labels(floor)).alias("label")).withColumn("h", F.xxhash64("node"))
+    shared = written(short.groupBy("label").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select("label"))
+    # ties to the head of each shared prefix; connected, they are the places
+    met = written(short.join(shared, "label").select("label", "node").distinct())
+    heads = written(met.groupBy("label").agg(F.min("node").alias("head")))
+    places = written(components(met.join(heads, "label").where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"))))
+    texts = docs.select(_node(text).alias("node"), F.coalesce(F.octet_length(text), F.lit(0)).alias("size"), F.col(text).alias("text"))
+    texts = written(texts.join(places.select("node"), "node", "left_semi").dropDuplicates(["node"]))
+    lanes = rows.join(places.select("node"), "node", "left_semi").groupBy("node").agg(F.first("paths").alias("paths"))
+    forest = written(texts.select("node", "size").join(places.select("node", F.col("root").alias("place")), "node").join(lanes, "node"))
+    done = [shared, met, heads, places, texts, forest]
+    found = rows.sparkSession.createDataFrame([], FOUND)
+    for depth in range(max_depth, floor - 1, -1):
+        spots = meetings(forest, depth, max_depth, block)
+        sides = forest.select("node", _labels(depth).alias("labels"), (_labels(depth + 1) if depth < max_depth else F.array().cast("array<long>")).alias("deeper"))
+        dealt = spots.join(sides, "node").join(texts.select("node", "text"), "node").select("place", "tree", "i", "j", "side", "node", "labels", "deeper", "text")
+        more = written(verify(dealt.repartition("place", "tree", "i", "j").sortWithinPartitions("place", "tree", "i", "j"), threshold))
+        done.append(more)
+        found = found.unionByName(more)
+        lows = found.where("tie is null").groupBy("node").agg(F.min("least").alias("least"))
+        steps = {r["step"]: r["n"] for r in lows.groupBy(F.floor(F.col("least") * 100 * STEPS + 1e-6).alias("step")).agg(F.count("*").alias("n")).collect()}  # a hundred rows at most
+        if recall_estimate(steps, depth, trees) >= recall:
+            break
+    links = written(found.where("tie is null").groupBy("node").agg(F.sum("links").alias("n_links")))
     roots = components(found.where("tie is not null").select(F.col("node").alias("a"), F.col("tie").alias("b")))
-    drop_written(places)
+    for x in done:
+        drop_written(x)
     return _classes(rows, roots, links)
 
 
@@ -252,29 +326,28 @@ def _classes(rows: DataFrame, roots: DataFrame, links: DataFrame) -> DataFrame:
     firsts = rows.groupBy("node").agg(F.min("key").alias("first"))
     per_node = firsts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = per_node.groupBy("root").agg(F.min("first").alias("class_id"))
-    facts = per_node.join(ids, "root").join(links, "node", "left").select("node", "root", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    return rows.select("key", "node").join(facts, "node")
+    facts = written(per_node.join(ids, "root").join(links, "node", "left").select("node", F.col("root").alias("class_key"), "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    return rows.select("key", "node").join(facts, "node")  # both from files, so that a text of many copies can be split
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class and number of links of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return join(docs).select(F.col("key").alias("doc_id"), "class_id", "n_links")
+    return join(docs).select(F.col("key").alias("doc_id"), "class_id", "n_links", "class_key")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class stays: that with the smallest id.
+    """One document of each class stays: that with the smallest id, of equals the smallest md5 of the text.
 
-    Rows that repeat that id with the same text are one document, of which one row stays.
+    Rows that repeat that id with the same text are one document, of which one row stays. Null and empty
+    texts are a class of their own; an empty table stays empty; columns of any name pass through unchanged.
     """
     ship(spark)
-    found = written(join(docs).select("key", "node", "root", "class_id"))
-    keep = found.where("key <=> class_id").groupBy("root").agg(F.min("node").alias("node"), F.first("key").alias("key")).select("key", "node")
-    gone = found.join(keep, found["key"].eqNullSafe(keep["key"]) & (found["node"] == keep["node"]), "left_anti").select(F.col("key").alias("gone_key"), F.col("node").alias("gone_node")).distinct()
-    left = written(gone)
-    left = few(left, left.count())
-    kept = docs.join(left, docs["doc_id"].eqNullSafe(left["gone_key"]) & (F.md5(F.coalesce(docs["text"], F.lit("")).cast("binary")) == left["gone_node"]), "left_anti")
-    again = found.groupBy("key", "node").count().where("count > 1")
-    if again.isEmpty():
-        return kept
-    return kept.withColumn("gone_node", _node("text")).dropDuplicates(["doc_id", "gone_node"]).select(*docs.columns)
+    found = written(join(docs).select("key", "node", "class_key", "class_id"))
+    keep = found.where("key <=> class_id").groupBy("class_key").agg(F.min("node").alias("node"), F.first("key").alias("key")).select("key", "node")
+    gone = written(found.join(keep, found["key"].eqNullSafe(keep["key"]) & (found["node"] == keep["node"]), "left_anti").select(F.col("key").alias("gone_key"), F.col("node").alias("gone_node")).distinct())
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").alias("key"), _node("text").alias("node"))
+    kept = packed.join(gone, packed["key"].eqNullSafe(gone["gone_key"]) & (packed["node"] == gone["gone_node"]), "left_anti")
+    if not found.groupBy("key", "node").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["key", "node"])
+    return kept.select("row.*")

@@ -81,8 +81,66 @@ def test_join_of_a_dense_group_in_blocks(spark):
 
 
 def test_depth_meets_the_target():
-    d = neardup.forest_depth(0.8, 24, 8, 0.9995)
+    d = neardup.shortest_depth(0.8, 24, 8, 0.9995)
     assert 1 - (1 - 0.8**d) ** 24 >= 0.9995 > 1 - (1 - 0.8 ** (d + 1)) ** 24
+    assert neardup.recall_estimate({}, 8, 24) == 1.0 and neardup.recall_estimate({100: 5}, 8, 24) == 1.0
+    assert abs(neardup.recall_estimate({80: 1000}, 8, 24) - (1 - (1 - 0.8**8) ** 24)) < 1e-9
+
+
+def _variants(n, words, seed=1):
+    """Texts of one chain: each differs from the one before in a word."""
+    r = random.Random(seed)
+    text = [r.choice(WORDS) for _ in range(words)]
+    out = []
+    for i in range(n):
+        text = list(text)
+        text[r.randrange(words)] = f"v{seed}x{i}"
+        out.append(" ".join(text))
+    return out
+
+
+def test_prefixes_are_shortened_until_the_target(spark, monkeypatch):
+    """Near the threshold shorter prefixes are needed; pairs are met once, whatever the round and the place."""
+    r = random.Random(6)
+    base = [r.choice(WORDS) for _ in range(120)]
+    rows, far = [], []
+    for i in range(40):
+        w = list(base)
+        for at in r.sample(range(0, 120, 6), 2):
+            w[at] = f"z{i}q{at}"
+        rows.append((i, " ".join(w)))
+    depths = []
+    real = neardup.meetings
+    monkeypatch.setattr(neardup, "meetings", lambda forest, depth, *a: depths.append(depth) or real(forest, depth, *a))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = neardup.join(df).collect()
+    assert depths == list(range(8, depths[-1] - 1, -1)) and depths[-1] < 8
+    assert Counter((x["key"], x["class_id"], x["n_links"]) for x in got) == classes_by_brute_force(rows)
+    depths.clear()
+    far = [(i, t + (" tail" if i % 2 else "")) for i, t in enumerate(_variants(1, 300) * 2)]
+    neardup.join(spark.createDataFrame(far, "doc_id long, text string")).collect()
+    assert depths == [8]
+
+
+def test_a_chained_group_is_sent_by_prefixes(spark):
+    """A long chain of candidates is one connected group; its texts are sent a bounded number of times each."""
+    rows = list(enumerate(_variants(160, 60)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for block in (4, 256):
+        got = neardup.join(df, block=block).collect()
+        assert Counter((x["key"], x["class_id"], x["n_links"]) for x in got) == classes_by_brute_force(rows)
+    signed = written(neardup.signed(df, "doc_id", "text", 24, 8))
+    from pyspark.sql import functions as F
+
+    forest = written(signed.select("node", "size", F.lit("one").alias("place"), "paths"))
+    sent = neardup.meetings(forest, 8, 8, 4)
+    assert sent.where("tree >= 0").count() == sent.count() < 160 * 40  # whole, each text would be sent 40 times
+
+
+def test_null_ids_keep_their_classes_apart(spark):
+    rows = [(None, "one text of a few words here"), (None, "quite another thing that is said"), (None, "one text of a few words here")]
+    got = neardup.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len({x["class_key"] for x in got}) == 2 and all(x["class_id"] is None for x in got)
 
 
 def test_stage_keeps_one_of_each_class(spark, docs):
