@@ -34,14 +34,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, else (tests) an own one."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a local session
+    (tests) gets a folder of its own; on a cluster that is an error, as executors couldn't read the driver's."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="shared_")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
+def apart(docs: DataFrame, names: list[str]) -> tuple[DataFrame, list[Column]]:
+    """docs with the columns renamed that clash with the names, and what selects them under their own names."""
+    new = {}
+    for c in docs.columns:
+        if c in names:
+            other = f"own_{c}"
+            while other in docs.columns or other in names or other in new.values():
+                other = f"own_{other}"
+            new[c] = other
+    return docs.withColumnsRenamed(new), [F.col(f"`{new.get(c, c)}`").alias(c) for c in docs.columns]
+
+
 def written(df: DataFrame) -> DataFrame:
     """df, written as Parquet to the shared folder and read back: its lineage ends there."""
     spark = df.sparkSession

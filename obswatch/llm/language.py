@@ -2,8 +2,9 @@
 
 Every language has a distribution over hashed character trigrams, counted over all labelled training
 documents. A text is taken as words, each written in one language; expectation-maximisation finds the
-shares of the languages among its words, and nested sets of languages are compared by likelihood with
-a penalty per language. The language with the largest share in the chosen set is the prediction.
+shares of the languages among its words, and nested sets of languages, the likeliest first, are compared by
+likelihood with a penalty per language: a text's set grows until another language no longer pays, up to all
+of them. The language with the largest share in the chosen set is the prediction.
 
 Defined results: a null text or one without a letter gets ``und`` with score 0 and no languages; ties
 between languages go to the first in code order; without any labelled row every text is ``und``.
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obswatch.llm.common import append_columns, id_hash, runs, ship, table
+from obswatch.llm.common import apart, append_columns, id_hash, runs, ship, table
 
 BITS = 15
 UNDETERMINED = "und"
@@ -121,15 +122,19 @@ def infer(model: Model, texts: list[str | None], rounds: int = 12, penalty: floa
 
     full, _ = fit(np.ones((k, len(has))))
     order = np.argsort(-full, axis=0, kind="stable")
-    best, value = None, np.full(len(has), -np.inf)
-    for m in range(1, min(k, 4) + 1):
-        allowed = np.zeros((k, len(has)))
-        np.put_along_axis(allowed, order[:m], 1.0, axis=0)
-        share, fits = (allowed, np.add.reduceat(np.log(like[order[0, row], np.arange(len(row))] + 1e-300), at)) if m == 1 else fit(allowed)
+    rank = np.empty_like(order)
+    np.put_along_axis(rank, order, np.arange(k)[:, None], axis=0)
+    share = np.zeros((k, len(has)))
+    np.put_along_axis(share, order[:1], 1.0, axis=0)
+    best, value = share, np.add.reduceat(np.log(like[order[0, row], np.arange(len(row))] + 1e-300), at)
+    growing = np.ones(len(has), bool)
+    for m in range(2, k + 1):
+        share, fits = fit((rank < np.where(growing, m, 1)).astype(float))
         worth = fits - penalty * (m - 1) * np.log(n + 1)
-        better = worth > value
-        best = share if best is None else np.where(better, share, best)
-        value = np.maximum(value, worth)
+        growing &= worth > value
+        if not growing.any():
+            break
+        best, value = np.where(growing, share, best), np.where(growing, worth, value)
     out = none
     for i, d in enumerate(has):
         shares = best[:, i]
@@ -158,9 +163,36 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detect(docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")), model).drop("text")
 
 
+#: Scores are compared with labels in steps of this width.
+STEP = 0.05
+
+
+def cutoff(found: DataFrame, lang: str = "lang") -> float:
+    """The highest step of the score below which predictions of labelled documents are wrong more often than right."""
+    judged = found.where(F.col(lang).isNotNull() & (F.col("lang_pred") != UNDETERMINED))
+    steps = judged.groupBy(F.floor(F.col("score") / STEP + 1e-9).alias("step")).agg(F.count("*").alias("n"), F.count_if(F.col(lang) != F.col("lang_pred")).alias("bad")).orderBy("step").collect()  # 21 rows at most
+    n = bad = 0
+    out = 0.0
+    for r in steps:
+        n, bad = n + r["n"], bad + r["bad"]
+        if 2 * bad > n:
+            out = (r["step"] + 1) * STEP
+    return out
+
+
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a determined language, or with none in over a third of their words, go."""
+    """Documents whose language can't be told go: those without a letter, and those whose score lies below the
+    cutoff that the errors on held-out labelled documents set (documents mostly in two languages at once).
+
+    The model is learned from documents that aren't held out. Null and empty texts go; without any labelled
+    document nothing is known of languages, and all with a letter stay; repeated rows are judged alike; an
+    empty table stays empty; columns of any name pass through unchanged, also those that an output is named as.
+    """
     ship(spark)
-    model = train(docs)
-    found = detect(docs, model)
-    return found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") > 1 / 3)).select(*docs.columns)
+    renamed, back = apart(docs, ["lang_pred", "score", "languages", "shares"])
+    model = train(renamed.where(~held_out(F.col("doc_id"))))
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = detect(renamed, model)
+    least = cutoff(found.where(held_out(F.col("doc_id"))))
+    return found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)).select(*back)

@@ -212,6 +212,107 @@ def test_rules_judge(spark, docs):
     assert rules.stage(spark, docs, SF).columns == docs.columns
 
 
+def test_cutoffs_equal_brute_force(spark):
+    """Levels, trials by distinct text, bounds and the choice among levels, one by one."""
+    r = random.Random(12)
+    texts = {}
+    for i in range(3000):
+        bad = i % 7 == 0
+        words = [r.choice(WORDS) + ("%" * r.randint(1, 3) if r.random() < (0.5 if bad else 0.02) else "") for _ in range(40)]
+        texts[i] = (" ".join(words), "en" if i % 3 else None, 0 if bad else 1)
+    rows = [(i, t, g) for i, (t, g, _) in texts.items()] + [(5000 + i, texts[1][0], "en") for i in range(500)]  # copies are one trial
+    labels = [(i, q) for i, (_, _, q) in texts.items()] + [(5000 + i, 1) for i in range(500)]
+    measured = written(rules.measure(spark.createDataFrame(rows, "doc_id long, text string, lang string")))
+    got = {x["doc_id"]: x["kept"] for x in rules.judge(measured, spark.createDataFrame(labels, "doc_id long, quality int")).collect()}
+    import hashlib
+    from math import ceil
+
+    at = [textstats.FEATURES.index(n) for n in rules.RULES]
+    trials = {}
+    quality = dict(labels)
+    for i, t, g in rows:
+        values = [textstats.features(t)[1][k] for k in at]
+        if not (textstats.base(t)[0] < 20 or 100 * textstats.base(t)[4] > 30 * textstats.base(t)[0]):
+            key = (g, t)
+            trials[key] = (max(quality[i], trials.get(key, (0,))[0]), values)
+    limits = {}
+    strata = {g for g, _ in trials}
+    for g in strata:
+        mine = [(q, v, zlib.crc32(hashlib.md5(t.encode()).hexdigest().encode()) % 2 == 0) for (h, t), (q, v) in trials.items() if h == g]
+        train = [v for q, v, test in mine if q and not test]
+        best = (-1, 0, None)
+        for j, level in enumerate(rules.LEVELS):
+            cuts = [sorted(v[k] for v in train)[max(0, ceil((1 - level) * len(train)) - 1)] for k in range(len(at))]
+            over = lambda v: any(x > c for x, c in zip(v, cuts, strict=True))  # noqa: E731, B023
+            n, k = sum(q and t for q, _, t in mine), sum(bool(q and t and over(v)) for q, v, t in mine)
+            if n and rules.upper_bound(k, n, 0.05 / (len(strata) * len(rules.LEVELS))) <= 0.02:
+                best = max(best, (sum(not q and over(v) for q, v, _ in mine), j, cuts))
+        limits[g] = best[2]
+    for i, t, g in rows:
+        values = [textstats.features(t)[1][k] for k in at]
+        failed = textstats.base(t)[0] < 20 or 100 * textstats.base(t)[4] > 30 * textstats.base(t)[0]
+        assert got[i] == (not failed and not (limits[g] and any(x > c for x, c in zip(values, limits[g], strict=True))))
+    assert any(limits.values()) and not all(got.values())
+
+
+def _mixture_by_loops(model, text, rounds=12, penalty=3.0, temper=0.5):
+    """Plain EM over one text, with nested sets of languages."""
+    bucket, word, _ = language.trigrams([text])
+    k = len(model.languages)
+    like = np.array([[sum(float(model.table[b, j]) for b in bucket[word == w]) * temper for j in range(k)] for w in range(word.max() + 1)])
+    like = np.exp(np.maximum(like - like.max(1, keepdims=True), -60))
+
+    def em(allowed):
+        share = np.array([j in allowed for j in range(k)], float) / len(allowed)
+        for _ in range(rounds):
+            part = share * like
+            share = (part / part.sum(1, keepdims=True)).mean(0)
+        return share, np.log((share * like).sum(1)).sum()
+
+    order = np.argsort(-em(range(k))[0], kind="stable")
+    best, value = np.eye(k)[order[0]], np.log(like[:, order[0]]).sum()
+    for m in range(2, k + 1):
+        share, fit = em(set(order[:m].tolist()))
+        if fit - penalty * (m - 1) * np.log(len(like) + 1) <= value:
+            break
+        best, value = share, fit - penalty * (m - 1) * np.log(len(like) + 1)
+    return best
+
+
+def test_mixtures_equal_plain_em(spark):
+    """Sets may have as many languages as the text: seven here."""
+    r = random.Random(3)
+    alphabets = ["abcd", "efgh", "ijkl", "mnop", "qrst", "uvwx", "yzßé"]
+    word = lambda a: "".join(r.choice(a) for _ in range(r.randint(3, 7)))
+    rows = [(i, " ".join(word(alphabets[i % 7]) for _ in range(60)), f"l{i % 7}") for i in range(140)]
+    model = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    texts = [" ".join(word(a) for a in alphabets[:m] for _ in range(40)) for m in range(1, 8)] + ["abcd mnop", "a"]
+    pred, score, found, shares = language.infer(model, texts)
+    for t, p, s, f, x in zip(texts, pred, score, found, shares, strict=True):
+        want = _mixture_by_loops(model, t)
+        assert abs(s - want.max()) < 1e-6 and p == model.languages[int(want.argmax())]
+        assert dict(zip(f, np.round(x, 6), strict=True)) == {model.languages[j]: round(v, 6) for j, v in enumerate(want) if v > 1e-3}
+    assert [len(f) for f in found[:7]] == [1, 2, 3, 4, 5, 6, 7]
+
+
+def test_language_stage(spark):
+    """A cutoff from held-out labels drops texts in two languages; columns named as outputs pass through."""
+    one, two = "the of and to in is that house ", "der die und das nicht ein haus "
+    rows = [(i, one * 5 if i % 2 else two * 5, "en" if i % 2 else "de", "mine", i) for i in range(400)]
+    rows += [(i, one * 8 + two * 8, "en" if i % 4 else "de", "mine", i) for i in range(400, 480)] + [(900, None, "en", None, 1), (901, "12 34", "en", "x", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score string, languages int")
+    kept = language.stage(spark, docs, SF)
+    got = kept.collect()
+    assert kept.columns == docs.columns and {x["doc_id"] for x in got} >= set(range(400)) and all(x["score"] == "mine" and x["languages"] == x["doc_id"] for x in got)
+    assert not {900, 901} & {x["doc_id"] for x in got}
+    from pyspark.sql import functions as F
+
+    found = spark.createDataFrame([("en", "de", 0.5), ("en", "de", 0.52), ("en", "en", 0.51), ("en", "en", 0.7), ("de", "de", 0.71), ("en", "en", 0.9)], "lang string, lang_pred string, score double")
+    assert abs(language.cutoff(found) - 0.55) < 1e-9 and language.cutoff(found.limit(0)) == 0.0
+    unknown = language.stage(spark, docs.withColumn("lang", F.lit(None).cast("string")), SF)
+    assert unknown.count() == 480
+
+
 def test_language(spark, docs):
     rows = [(i, "the of and to in is that house " * 5, "en") for i in range(20)] + [(i, "der die und das nicht ein haus " * 5, "de") for i in range(20, 40)]
     train = spark.createDataFrame(rows, "doc_id long, text string, lang string")
@@ -462,7 +563,25 @@ def test_context_tells_words_of_a_class_apart(spark):
     assert maxent.class_of(b"xing") == maxent.class_of(b"ying") and got[1000] > got[1001] + 0.3
 
 
-def test_sharding(spark):
+def _shards_by_splitting(rows, limit):
+    """Buckets as lists of rows; an oversized one is split on its next bit, until all 60 are used."""
+    import hashlib
+
+    hashed = [(int(hashlib.md5(("" if k is None else str(k)).encode()).hexdigest()[:15], 16), k, len((t or "").encode())) for k, t in rows]
+    out, todo = [], [(0, 0, hashed)]
+    while todo:
+        depth, prefix, mine = todo.pop()
+        if sum(n for *_, n in mine) <= limit or depth == sharding.BITS:
+            out.append((depth, prefix, mine))
+            continue
+        for bit in (0, 1):
+            part = [x for x in mine if (x[0] >> (sharding.BITS - depth - 1)) & 1 == bit]
+            if part:
+                todo.append((depth + 1, 2 * prefix + bit, part))
+    return out
+
+
+def test_sharding(spark, tmp_path):
     rows = [(1, "a" * 60)] * 50 + [(2, "b" * 70)] * 3 + [(3, None), (None, "x"), (None, "x" * 500), (4, "y" * 90)] + [(i, "z" * (i % 40)) for i in range(10, 200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
     out = sharding.assign(docs, limit=130).toPandas()
@@ -470,7 +589,29 @@ def test_sharding(spark):
     g = out.groupby("shard_id")
     assert (g.n_bytes.sum() == g.shard_bytes.first()).all() and (g.size() == g.shard_docs.first()).all()
     assert ((g.n_bytes.sum() <= 130) | (g.size() == 1)).all()
+    plain = lambda r: sorted((str(k), n, d, p) for d, p, mine in r for _, k, n in mine)
+    key = lambda x: None if x != x or x is None else int(x)
+    got = sorted((str(key(x.doc_id)), x.n_bytes, x.depth, x.prefix) for x in out.itertuples())
+    assert got == plain(_shards_by_splitting(rows, 130))
+    again = sharding.assign(docs.repartition(2), limit=130).toPandas()
+    same = lambda f: sorted(map(str, f.astype(object).where(f.notna(), None).values.tolist()))
+    assert same(again) == same(out)
     assert sharding.assign(docs.limit(0)).count() == 0
+    from pyspark.sql import functions as F
+
+    # the directory: every index of so many bits leads to one shard
+    few = spark.createDataFrame([(i, "z" * (i % 40)) for i in range(200)], "doc_id long, text string")
+    found = sharding.assign(few, limit=300)
+    slots = sorted((x["first"], x["last"], x["shard_id"], x["global_depth"]) for x in sharding.directory(found).collect())
+    assert all(a[1] < b[0] for a, b in zip(slots, slots[1:])) and slots[-1][1] < 2 ** slots[0][3]
+    assert {x[2] for x in slots} == {x["shard_id"] for x in found.collect()} and any(a == b for a, b, *_ in slots)
+    # written shards hold what was assigned, with columns of any name
+    odd = docs.withColumn("shard_id", F.lit("mine")).withColumn("hash", F.lit(1)).withColumn("row", F.lit(2))
+    kept = sharding.write(odd, f"file://{tmp_path}/shards", limit=130)
+    back = spark.read.parquet(f"file://{tmp_path}/shards")
+    assert back.count() == len(rows) and kept.count() == len(rows) and {"mine"} == {x[0] for x in back.select("shard_id").distinct().collect()}
+    size = lambda f: sorted((x["s"], x["n"]) for x in f.groupBy("s").agg(F.sum("n").alias("n")).collect())
+    assert size(back.select(F.col("shard").alias("s"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("n"))) == size(kept.select(F.col("shard_id").alias("s"), F.col("n_bytes").alias("n")))
 
 
 def test_sql_agrees(spark):
