@@ -51,3 +51,28 @@ def season_anchor(day: Column, first_month: int = 8) -> Column:
 
 def years_before(day: Column, years: int) -> Column:
     return F.add_months(day, -12 * years)
+
+
+def naive_utc(local: Column, zone: str) -> Column:
+    """A zone's wall clock as UTC without a zone."""
+    return F.convert_timezone(F.lit(zone), F.lit("UTC"), local.cast("timestamp_ntz"))
+
+
+def previous_season(label: Column) -> Column:
+    first = F.split_part(label, F.lit("-"), F.lit(1)).cast("int")
+    return F.concat_ws("-", (first - 1).cast("string"), first.cast("string"))
+
+
+def csv_date(text: Column) -> Column:
+    """A date written as text; null if it is none."""
+    return text.try_cast("date")
+
+
+def iso_time(text: Column) -> Column:
+    """The UTC time of a text such as 2024-02-01T10:00:00Z, without a zone; null if it is none."""
+    return F.replace(F.replace(text, F.lit("T"), F.lit(" ")), F.lit("Z"), F.lit("")).try_cast("timestamp_ntz")
+
+
+def is_stale(at: Column, now: Column, days: int) -> Column:
+    """Whether data are older than so many whole days; unknown data are."""
+    return F.coalesce(F.unix_seconds(now) - F.unix_seconds(at) > days * 86400, F.lit(True))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def normalised(text: Column) -> Column:
     """No-break spaces, degree signs, curly apostrophes and dashes made plain, white space squeezed and trimmed."""
-    plain = F.translate(text, " º˚’–—", " °°'--")
+    plain = F.replace(F.translate(text, "\u00a0º˚’–", " °°'-"), F.lit("—"), F.lit(" - "))
     return F.trim(F.regexp_replace(plain, r"\s+", " "))
 
 

@@ -37,20 +37,20 @@ def unpivoted(df: DataFrame, ids: list[str], measures: list[str]) -> DataFrame:
 def suspects(long: DataFrame, baseline: DataFrame, day: str, width: float = 3.0) -> DataFrame:
     """Rows (day, measure, value) further from their baseline than so many deviations.
 
-    A baseline has 365 rows a measure, whatever the history, so it is broadcast.
+    A baseline has 365 rows a measure and key; whether it is broadcast is left to its size.
     """
     known = baseline.where("sd > 0")
-    joined = long.withColumn("day_of_year", folded_day(F.col(day))).join(F.broadcast(known), ["measure", "day_of_year"])
+    joined = long.withColumn("day_of_year", folded_day(F.col(day))).join(known, ["measure", "day_of_year"])
     return joined.where(F.abs(F.col("value") - F.col("mean")) > width * F.col("sd"))
 
 
-def replayed(series: DataFrame, day: str, value: str, years: tuple[int, int], month: int = 4) -> DataFrame:
+def replayed(series: DataFrame, day: str, value: str, years: tuple[int, int], month: int = 4, live: set[str] | None = None) -> DataFrame:
     """refreshed_on, season_mean: the season average as each year's refresh would have found it.
 
-    One job: a row counts for each refresh in the thirty years after it.
+    One job: a row counts for each refresh in the thirty years after it. Days of a live refresh are left out.
     """
     first, last = years
-    dates = F.array(*[F.lit(f"{y}-{month:02d}-01").cast("date") for y in range(first, last + 1)])
+    dates = F.array(*[F.lit(f"{y}-{month:02d}-01").cast("date") for y in range(first, last + 1) if f"{y}-{month:02d}-01" not in (live or set())])
     each = series.withColumn("refreshed_on", F.explode(F.filter(dates, lambda r: (F.col(day) < r) & (F.col(day) >= years_before(r, TRAILING_YEARS)))))
     return season_average(smoothed(each, day, value, ["refreshed_on"]), ["refreshed_on"])
 
@@ -65,8 +65,28 @@ def drift(log: DataFrame, keys: list[str], at: str, new: str) -> DataFrame:
 
 def normal(baseline: DataFrame, days: DataFrame, day: str) -> DataFrame:
     """days with the mean and sd of their day of the year."""
-    return days.withColumn("day_of_year", folded_day(F.col(day))).join(F.broadcast(baseline), "day_of_year", "left")
+    return days.withColumn("day_of_year", folded_day(F.col(day))).join(baseline, "day_of_year", "left")
 
 
 def deviation(value: Column, mean: Column, sd: Column) -> Column:
     return F.when(sd > 0, (value - mean) / sd)
+
+
+def refresh(observed: DataFrame, day: str, source: str, baselines: DataFrame, log: DataFrame, on: str, replayed_run: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The baselines and the log after a refresh on a day, from long rows (day, measure, value) before it.
+
+    All measures in one job. A measure without a baseline keeps the old one and isn't logged. The log has the
+    newest earlier value beside the new one. A baseline in force is replaced unless a later one is.
+    """
+    at = F.lit(on).cast("date")
+    past = observed.where((F.col(day) < at) & (F.col(day) >= years_before(at, TRAILING_YEARS)))
+    new = smoothed(past, day, "value", ["measure"]).withColumn("source", F.lit(source)).withColumn("refreshed_on", at)
+    seasons = season_average(new, ["measure"]).where("season_mean is not null")
+    before = log.where((F.col("source") == source) & (F.col("refreshed_on") < at)).groupBy("measure").agg(F.max_by("new_value", "refreshed_on").alias("old_value"))
+    rows = seasons.join(before, "measure", "left").select(at.alias("refreshed_on"), F.lit(replayed_run).alias("replayed"), F.lit(source).alias("source"), "measure", "old_value", F.col("season_mean").alias("new_value"))
+    keys = ["refreshed_on", "source", "measure"]
+    logged = log.join(rows.select(keys), keys, "left_anti").unionByName(rows)
+    later = baselines.where(F.col("refreshed_on") > at).select("source", "measure").distinct()
+    taken = new.join(seasons.select("measure"), "measure", "left_semi").join(later, ["source", "measure"], "left_anti").select("source", "measure", "day_of_year", "mean", "sd", "refreshed_on")
+    kept = baselines.join(taken.select("source", "measure").distinct(), ["source", "measure"], "left_anti")
+    return kept.unionByName(taken), logged

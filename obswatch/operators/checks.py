@@ -46,7 +46,7 @@ def report_freshness(last: DataFrame, today: Column, season_open: Column, limits
 
 def volume(counts: DataFrame, expected: DataFrame) -> DataFrame:
     """counts (source, row_count) against expected (source, low, high; a null high has no limit). Unknown counts give no verdict."""
-    joined = counts.where("row_count is not null").join(F.broadcast(expected), "source")
+    joined = counts.where("row_count is not null").join(expected, "source")
     return joined.withColumn("failed", (F.col("row_count") < F.col("low")) | F.coalesce(F.col("row_count") > F.col("high"), F.lit(False)))
 
 
@@ -66,23 +66,28 @@ def cell_null_rate(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.agg((F.sum(missing) / F.nullif(F.count("*") * len(columns), F.lit(0))).alias("null_rate"))
 
 
-def jumps(df: DataFrame, day: str, value: str, days: int, least: float, rise: float, fall: float, explained: Column | None = None) -> DataFrame:
+def jumps(df: DataFrame, day: str, value: str, days: int, least: float, rise: float, fall: float, keys: list[str] | None = None, temperatures: list[str] | None = None) -> DataFrame:
     """Rows that differ from the row before, a few days ago at most, by least and by the factors.
 
-    explained: a condition under which a jump isn't expected and so is a suspect.
+    With temperatures only a rise while one of them rose, or a fall while one fell, is told; a temperature that
+    either day lacks says nothing. Without keys the series is one, of a row a day.
     """
-    w = W.partitionBy(F.lit(0)).orderBy(day)  # one row a day
+    w = W.partitionBy(*(keys or [F.lit(0)])).orderBy(day)
     out = df.where(F.col(value).isNotNull()).withColumn("before", F.lag(value).over(w)).withColumn("before_on", F.lag(day).over(w))
+    up, down = F.lit(temperatures is None), F.lit(temperatures is None)
+    for t in temperatures or []:
+        delta = F.col(t) - F.lag(t).over(w)
+        out = out.withColumn(f"_{t}", delta)
+        up, down = up | F.coalesce(F.col(f"_{t}") > 0, F.lit(False)), down | F.coalesce(F.col(f"_{t}") < 0, F.lit(False))
     big = (F.datediff(day, "before_on") <= days) & (F.abs(F.col(value) - F.col("before")) >= least)
-    odd = (F.col(value) > rise * F.col("before")) | (F.col(value) < fall * F.col("before"))
-    return out.where(big & odd if explained is None else big & odd & explained)
+    odd = ((F.col(value) > rise * F.col("before")) & up) | ((F.col(value) < fall * F.col("before")) & down)
+    return out.where(big & odd).drop(*(f"_{t}" for t in temperatures or []))
 
 
-def ranges(df: DataFrame, ids: list[str], columns: list[str], low: float, high: float) -> DataFrame:
-    """Values out of a closed range, the first of an observation's columns first."""
-    long = df.unpivot(ids, columns, "counter", "value").where(F.col("value").isNotNull() & ~F.col("value").between(low, high))
-    rank = F.array_position(F.array(*map(F.lit, columns)), F.col("counter"))
-    return long.withColumn("_r", F.row_number().over(W.partitionBy(*ids).orderBy(rank))).where("_r = 1").drop("_r")
+def ranges(df: DataFrame, ids: list[str], bounds: dict[str, tuple[float, float]]) -> DataFrame:
+    """Values out of their column's closed range, of an observation's columns the first in order."""
+    out = [F.when(F.col(c).isNotNull() & ~F.col(c).between(lo, hi), F.struct(F.lit(c).alias("counter"), F.col(c).cast("double").alias("value"))) for c, (lo, hi) in bounds.items()]
+    return df.withColumn("_bad", F.coalesce(*out)).where("_bad is not null").select(*ids, "_bad.counter", "_bad.value")
 
 
 def retention(days: DataFrame, other: DataFrame, day: str, before: Column, least: int = 5, share: float = 0.9) -> DataFrame:

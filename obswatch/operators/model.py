@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from obswatch.functions.text import observation_id
+from obswatch.operators import predicates, state
+
 
 def best_by(df: DataFrame, keys: list[str], value: str, rank: Column) -> DataFrame:
     """A key's value of the highest rank; values that are null don't count, ties go to the larger value."""
@@ -25,22 +28,6 @@ def degree_sum(value: Column, threshold: float, hours: float = 24.0) -> Column:
     return hours * F.greatest(F.lit(0.0), F.lit(threshold) - value)
 
 
-def feature_frame(daily: DataFrame, day: str, count: str, level: str, threshold: float) -> DataFrame:
-    """Per day: the last count before it and its age, the newest level of the last three days, its change over
-    three days, and the sum of degree hours of three days, as of the level's day; rows without a count within
-    14 days, a level or one three days before it have a reason."""
-    k = F.datediff(day, F.lit("1970-01-01").cast("date"))
-    w = W.partitionBy(F.lit(0)).orderBy("_k")  # one row a day
-    before = w.rangeBetween(-14, -1)
-    counted = F.when(F.col(count).isNotNull(), F.struct(F.col(count).alias("c"), F.col("_k").alias("at")))
-    out = daily.withColumn("_k", k).withColumn("_last", F.last(counted, ignorenulls=True).over(before))
-    own = F.struct(F.col(level).alias("level"), F.max(level).over(w.rangeBetween(-3, -3)).alias("lag"), F.sum(F.when(F.col(level).isNotNull(), degree_sum(F.col(level), threshold))).over(w.rangeBetween(-2, 0)).alias("hours"))
-    out = out.withColumn("_own", F.when(F.col(level).isNotNull(), own)).withColumn("_g", F.last("_own", ignorenulls=True).over(w.rangeBetween(-3, 0)))
-    out = out.withColumn("degree_hours_below", F.col("_g.hours"))
-    reason = F.coalesce(F.when(F.col("_last").isNull(), "no count in 14 days"), F.when(F.col("_g").isNull(), "no level"), F.when(F.col("_g.lag").isNull(), "no level three days ago"))
-    return out.withColumn("log_last_count", F.log1p("_last.c")).withColumn("days_since_last_count", (F.col("_k") - F.col("_last.at")).cast("int")).withColumn("change_3d", F.col("_g.level") - F.col("_g.lag")).withColumn("reason", reason).drop("_k", "_last", "_own", "_g")
-
-
 FEATURES = ["log_last_count", "days_since_last_count", "gauge_temp", "gauge_change_3d", "gauge_degree_hours_below", "air_min", "air_degree_days_below"]
 #: Days that a count, a level or a forecast may be old; rows that a training needs.
 COUNT_AGE, LEVEL_LAG, FORECAST_AGE, LEAST_ROWS = 14, 3, 2, 30
@@ -53,14 +40,16 @@ def forecast_air(forecast: DataFrame, made_on: str) -> DataFrame:
     return newest_known(recent, ["day"], ["low", "mean"], "issued")
 
 
-def feature_rows(days: DataFrame, counts: DataFrame, levels: DataFrame, air: DataFrame, threshold: float) -> DataFrame:
+def feature_rows(days: DataFrame, counts: DataFrame, levels: DataFrame, air: DataFrame, threshold: float, keys: list[str] | None = None) -> DataFrame:
     """Per day of days, a prediction for the day after it: made_on, target, last_count, the FEATURES, and the
     reason for which they can't be built. counts has day and count, levels day and level, air day, low and
-    mean, each a row a day. The level is the newest within LEVEL_LAG days; its change and sums are as of its day."""
-    known = days.select("day", F.lit(True).alias("_asked"))
-    for other in (counts.select("day", "count"), levels.select("day", "level"), air.select("day", "low", "mean")):
-        known = known.join(other, "day", "full")
-    w = W.partitionBy(F.lit(0)).orderBy("_k")  # one row a day
+    mean, each a row a day; with keys, a row a day of each station. The level is the newest within LEVEL_LAG days;
+    its change and sums are as of its day. Nothing of the target's day but its air is used."""
+    by = keys or []
+    known = days.select(*by, "day", F.lit(True).alias("_asked"))
+    for other in (counts.select(*by, "day", "count"), levels.select(*by, "day", "level"), air.select(*by, "day", "low", "mean")):
+        known = known.join(other, [*by, "day"], "full")
+    w = W.partitionBy(*(by or [F.lit(0)])).orderBy("_k")  # without keys one series, of a row a day
     below = lambda v: F.greatest(F.lit(0.0), F.lit(threshold) - v)
     out = known.withColumn("_k", F.datediff("day", F.lit("1970-01-01").cast("date")))
     out = out.withColumn("_back", F.max("level").over(w.rangeBetween(-3, -3))).withColumn("_hours", F.sum(F.when(F.col("level").isNotNull(), degree_sum(F.col("level"), threshold))).over(w.rangeBetween(-2, 0)))
@@ -74,7 +63,7 @@ def feature_rows(days: DataFrame, counts: DataFrame, levels: DataFrame, air: Dat
         F.when(F.col("_low").isNull() | F.col("_mean").isNull(), "no air for the target"), F.when(F.col("mean").isNull(), "no air for the day"),
     )
     values = [F.log1p("_last.c"), age.cast("double"), F.col("_g.level"), F.col("_g.level") - F.col("_g._back"), F.col("_g._hours"), F.col("_low"), below(F.col("mean")) + below(F.col("_mean"))]
-    return out.where("_asked").select(F.col("day").alias("made_on"), F.date_add("day", 1).alias("target"), F.col("_last.c").alias("last_count"), *(F.when(reason.isNull(), v).alias(n) for n, v in zip(FEATURES, values, strict=True)), reason.alias("reason"))
+    return out.where("_asked").select(*by, F.col("day").alias("made_on"), F.date_add("day", 1).alias("target"), F.col("_last.c").alias("last_count"), F.date_from_unix_date("_last.at").alias("last_count_date"), *(F.when(reason.isNull(), v).alias(n) for n, v in zip(FEATURES, values, strict=True)), reason.alias("reason"))
 
 
 def training_frame(counts: DataFrame, levels: DataFrame, air: DataFrame, threshold: float, today: str) -> DataFrame:
@@ -97,6 +86,72 @@ def daily_prediction(fitted: Fit | None, season_open: bool, made_on: str, counts
     return predicted(feature_rows(day, counts, levels, forecast_air(forecast, made_on), threshold), fitted)
 
 
+def usable_counts(reports: DataFrame, table: str, quarantined: DataFrame, decisions: DataFrame) -> DataFrame:
+    """Counted days (day, count, not_counted and others) that no open quarantine holds back."""
+    known = reports.where(predicates.counted(F.col("count"), F.col("not_counted")))
+    return state.gate(known, observation_id(table, F.col("day")), state.held_out(quarantined, decisions)).drop("obs_id")
+
+
+def held_values(daily: DataFrame, table: str, day: str, measures: list[str], quarantined: DataFrame, decisions: DataFrame) -> DataFrame:
+    """daily with the values nulled that a quarantine holds back; ids that name no day and measure are passed over."""
+    part = lambda i: F.split_part("obs_id", F.lit(":"), F.lit(i))
+    held = state.held_out(quarantined, decisions).where(F.col("obs_id").startswith(f"{table}:"))
+    held = held.select(part(2).try_cast("date").alias(day), part(3).alias("_m")).where(F.col(day).isNotNull() & F.col("_m").isin(measures))
+    flags = held.groupBy(day).agg(*(F.bool_or(F.col("_m") == m).alias(f"_{m}") for m in measures))
+    out = daily.join(flags, day, "left")
+    return out.withColumns({m: F.when(~F.coalesce(F.col(f"_{m}"), F.lit(False)), F.col(m)) for m in measures}).select(daily.columns)
+
+
+def training_summary(frame: DataFrame) -> DataFrame:
+    """One row: rows, rows of estimates, and the first and last target."""
+    return frame.agg(F.count("*").alias("training_rows"), F.count_if(F.coalesce("is_estimate", F.lit(False))).alias("estimate_rows"), F.min("target").alias("first_target"), F.max("target").alias("last_target"))
+
+
+VERSION = "model_version string, trained_on date, trained_at timestamp, family string, params string, training_rows long, estimate_rows long, first_target date, last_target date, season_open boolean, reason string"
+
+
+def train_version(frame: DataFrame, versions: DataFrame, on: str, at: str, reason: str, season_open: bool, features: list[str] = FEATURES) -> DataFrame | None:
+    """A row to append to versions, with what it was trained on and why; None with too few rows."""
+    fitted = train(frame, features)
+    if fitted is None:
+        return None
+    name = version_id(on, versions.where(F.col("model_version").startswith(f"m{on.replace('-', '')}-")).count())
+    facts = [F.lit(name).alias("model_version"), F.lit(on).cast("date").alias("trained_on"), F.lit(at).cast("timestamp").alias("trained_at"), F.lit(fitted.family).alias("family"), F.lit(fitted.to_json()).alias("params")]
+    return training_summary(frame).select(*facts, "training_rows", "estimate_rows", "first_target", "last_target", F.lit(season_open).alias("season_open"), F.lit(reason).alias("reason"))
+
+
+def current(versions: DataFrame) -> DataFrame:
+    """The version in use: the newest, of equals the last by name."""
+    return versions.orderBy(F.desc("trained_at"), F.desc("model_version")).limit(1)
+
+
+def predictions(features: DataFrame, version: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of predictions and of their inputs, of the feature rows without a reason, by a version's parameters."""
+    row = version.first()
+    if row is None:
+        raise ValueError("there is no model")
+    params = json.loads(row["params"])
+    good = predicted(features.where("reason is null"), Fit(**params)).withColumn("model_version", F.lit(row["model_version"]))
+    values = F.to_json(F.map_from_arrays(F.array(*(F.lit(f) for f in sorted(params["features"]))), F.array(*(F.col(f) for f in sorted(params["features"])))))
+    return good.select("made_on", F.col("target").alias("target_date"), "predicted", "model_version"), good.select("made_on", F.col("target").alias("target_date"), "last_count", "last_count_date", values.alias("features"))
+
+
+def scored(predicted_rows: DataFrame, inputs: DataFrame, counts: DataFrame, version: str | None = None, estimates: bool = True) -> DataFrame:
+    """Predictions of days that were counted, with persistence and both errors; of a version, or without estimates, if asked."""
+    known = counts.select(F.col("day").alias("report_date"), "count", "is_estimate")
+    both = predicted_rows.join(inputs, ["made_on", "target_date"])
+    out = both.join(known, both["target_date"] == known["report_date"])
+    out = predicates.where_all(out, None if version is None else F.col("model_version") == version, None if estimates else ~F.coalesce("is_estimate", F.lit(False)))
+    error = lambda c: F.abs(F.col(c) - F.col("count"))
+    return out.select("made_on", "target_date", "model_version", "predicted", F.col("last_count").alias("persistence"), "count", "is_estimate", error("predicted").alias("model_error"), error("last_count").alias("persistence_error"))
+
+
+def newest_scores(rows: DataFrame, n: int = 10) -> DataFrame:
+    """Each version's n newest scores."""
+    w = W.partitionBy("model_version").orderBy(F.desc("target_date"), F.desc("made_on"))
+    return rows.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n).drop("_r")
+
+
 def errors(scored: DataFrame, predicted: str, persistence: str, actual: str) -> DataFrame:
     return scored.agg(F.count("*").alias("n"), F.avg(F.abs(F.col(predicted) - F.col(actual))).alias("mae_model"), F.avg(F.abs(F.col(persistence) - F.col(actual))).alias("mae_persistence"))
 

@@ -74,3 +74,9 @@ def queue(quarantined: DataFrame, decisions: DataFrame, today: Column) -> DataFr
     d = decisions.select("obs_id", "decision", F.to_date("decided_at").alias("cleared_on"))
     out = quarantined.join(d, "obs_id", "left").withColumn("opened_on", F.to_date("opened_at"))
     return out.withColumn("status", F.coalesce("decision", F.lit("open"))).withColumn("days_open", F.datediff(F.coalesce("cleared_on", today), "opened_on"))
+
+
+def summary(queue: DataFrame, keys: list[str], opened: str, status: str = "status") -> DataFrame:
+    """Counts of open and cleared items, and the oldest open one, by keys."""
+    is_open = F.col(status) == "open"
+    return queue.groupBy(*keys).agg(F.count_if(is_open).alias("n_open"), F.min(F.when(is_open, F.col(opened))).alias("oldest_open"), F.count_if(~is_open).alias("n_cleared"))

@@ -22,4 +22,4 @@ def query(sql: str | None = None) -> Callable:
     return add
 
 
-from obswatch.plans import model_queries, quality_queries, series_queries, shape_queries, text_queries  # noqa: E402, F401
+from obswatch.plans import model_queries, quality_queries, series_queries, shape_queries, text_queries, watch_queries  # noqa: E402, F401

@@ -144,25 +144,27 @@ def jump_suspects(spark, sf):
     return checks.jumps(daily_orders(spark, sf), "obs_date", "n", days=4, least=3, rise=1.5, fall=0.5).select("obs_date", "n", "before")
 
 
-_THIN = "thin AS (SELECT DISTINCT o_orderdate::DATE AS d, year(o_orderdate) AS winter FROM orders WHERE month(o_orderdate) <= 6 AND o_custkey % 97 = 5)"
+_THIN = "thin AS (SELECT DISTINCT o_orderdate::DATE AS d, year(o_orderdate) AS winter, o_custkey FROM orders WHERE month(o_orderdate) <= 6)"
 
 
-@query(f"""WITH {_THIN}, gaps AS (SELECT winter, d, coalesce(lead(d) OVER (PARTITION BY winter ORDER BY d), make_date(winter, 7::BIGINT, 1::BIGINT)) AS nx FROM thin),
-days AS (SELECT winter, g.d, unnest(generate_series(greatest(g.d + 1, make_date(winter, 3::BIGINT, 1::BIGINT))::TIMESTAMP, (nx - 1)::TIMESTAMP, INTERVAL 1 DAY))::DATE AS day FROM gaps g),
-nth AS (SELECT winter, day, row_number() OVER (PARTITION BY winter, d ORDER BY day) AS k FROM days WHERE isodow(day) <= 5)
-SELECT winter::INT AS winter, min(day) AS closed_on FROM nth WHERE k = 5 GROUP BY 1""")
+@query(f"""WITH {_THIN}, gaps AS (SELECT o_custkey, winter, d, coalesce(lead(d) OVER (PARTITION BY o_custkey, winter ORDER BY d), make_date(winter, 7::BIGINT, 1::BIGINT)) AS nx FROM thin),
+days AS (SELECT o_custkey, winter, g.d, unnest(generate_series(greatest(g.d + 1, make_date(winter, 3::BIGINT, 1::BIGINT))::TIMESTAMP, (nx - 1)::TIMESTAMP, INTERVAL 1 DAY))::DATE AS day FROM gaps g),
+nth AS (SELECT o_custkey, winter, day, row_number() OVER (PARTITION BY o_custkey, winter, d ORDER BY day) AS k FROM days WHERE isodow(day) <= 5)
+SELECT o_custkey, winter::INT AS winter, min(day) AS closed_on FROM nth WHERE k = 5 GROUP BY 1, 2""")
 def weekday_gap_close(spark, sf):
-    o = read(spark, sf, "orders").where((F.month("o_orderdate") <= 6) & (F.col("o_custkey") % 97 == 5))
-    days = o.select(F.to_date("o_orderdate").alias("d"), F.year("o_orderdate").alias("winter"))
-    return series.first_silence(days, ["winter"], "d", F.make_date("winter", F.lit(7), F.lit(1)), F.make_date("winter", F.lit(3), F.lit(1)))
+    o = read(spark, sf, "orders").where(F.month("o_orderdate") <= 6)
+    days = o.select("o_custkey", F.to_date("o_orderdate").alias("d"), F.year("o_orderdate").alias("winter"))
+    return series.first_silence(days, ["o_custkey", "winter"], "d", F.make_date("winter", F.lit(7), F.lit(1)), F.make_date("winter", F.lit(3), F.lit(1)))
 
 
-@query("""SELECT o_orderkey, date_diff('day', o_orderdate::DATE, DATE '2001-08-01')::INT AS age,
-  (SELECT count(*) FROM range(1, date_diff('day', o_orderdate::DATE, DATE '2001-08-01') + 1) r(i) WHERE isodow(o_orderdate::DATE + i::INT) <= 5)::INT AS weekdays
-FROM orders WHERE o_orderdate >= TIMESTAMP '2001-05-01'""")
+#: Weekdays from Monday 1 January 1900 through a day.
+_UPTO = "((({0} - DATE '1900-01-01' + 1) // 7) * 5 + least(({0} - DATE '1900-01-01' + 1) % 7, 5))"
+
+
+@query(f"""SELECT o_orderkey, date_diff('day', o_orderdate::DATE, DATE '2010-08-01')::INT AS age, ({_UPTO.format("DATE '2010-08-01'")} - {_UPTO.format("o_orderdate::DATE")})::INT AS weekdays FROM orders""")
 def weekdays_since(spark, sf):
-    day, end = F.to_date("o_orderdate"), F.lit("2001-08-01").cast("date")
-    return read(spark, sf, "orders").where(F.col("o_orderdate") >= F.lit("2001-05-01").cast("timestamp_ntz")).select("o_orderkey", F.datediff(end, day).alias("age"), cal.weekdays_between(day, end).alias("weekdays"))
+    day, end = F.to_date("o_orderdate"), F.lit("2010-08-01").cast("date")
+    return read(spark, sf, "orders").select("o_orderkey", F.datediff(end, day).alias("age"), cal.weekdays_between(day, end).alias("weekdays"))
 
 
 @query("""SELECT ((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York')::DATE AS local_day, count(*)::BIGINT AS n, round(sum(value), 4) AS total FROM events GROUP BY 1""")

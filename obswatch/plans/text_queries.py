@@ -31,7 +31,7 @@ def page_titles(spark, sf):
     return read(spark, sf, "pages").select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"))
 
 
-@query(r"SELECT doc_id, md5(trim(regexp_replace(translate(text, chr(160) || 'º˚’–—', ' °°''--'), '\s+', ' ', 'g'))) AS digest FROM documents")
+@query(r"SELECT doc_id, md5(trim(regexp_replace(replace(translate(text, chr(160) || 'º˚’–', ' °°''-'), '—', ' - '), '\s+', ' ', 'g'))) AS digest FROM documents")
 def normalise_text(spark, sf):
     return read(spark, sf, "documents").select("doc_id", F.md5(tx.normalised(F.col("text")).cast("binary")).alias("digest"))
 
@@ -47,16 +47,21 @@ def html_blocks(spark, sf):
     return extract.page_blocks(read(spark, sf, "pages").select("page_id", "html"))
 
 
-@query()
+_SAID = "SELECT conv_id AS page_id, (DATE '2024-12-20' + turn::INT)::DATE AS report_date, (length(text) % 700)::INT AS count_researchers, (turn % 40 + 45)::DOUBLE AS river_temp_f, turn FROM conversations"
+
+
+@query(f"""WITH said AS ({_SAID}), kept AS (SELECT *, row_number() OVER (PARTITION BY page_id, report_date ORDER BY turn) AS r FROM said)
+SELECT page_id, report_date, count_researchers, river_temp_f, NOT river_temp_f BETWEEN 50 AND 80 AS needs_review FROM kept WHERE r = 1""")
 def dated_reports(spark, sf):
     """Pages made of conversations, in dated paragraphs, through the extraction."""
     ship(spark)
     c = read(spark, sf, "conversations")
-    day = F.date_format(F.date_add(F.lit("2024-12-20").cast("date"), F.col("turn").cast("int")), "MMMM d")
+    day = F.date_format(F.date_add(F.lit("2024-12-20").cast("date"), F.col("turn").cast("int")), "MMMM d, yyyy")
     said = F.concat(F.lit("<p>"), day, F.lit(": we counted "), (F.length("text") % 700).cast("string"), F.lit(" animals; the river was "), (F.col("turn") % 40 + 45).cast("string"), F.lit("°F.</p>"))
     parts = c.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", said.alias("p")))).alias("ps"))
     pages = parts.select(F.col("conv_id").alias("page_id"), F.concat(F.lit("<html><title>Season 2024-2025</title><body>"), F.array_join(F.transform("ps", lambda x: x["p"]), ""), F.lit("</body></html>")).alias("html"))
-    return extract.reports(pages, dt.date(2025, 3, 1)).select("page_id", "report_date", "count_researchers", "river_temp_f", "needs_review")
+    rows = extract.page_rows(pages, dt.date(2025, 3, 1))
+    return extract.reports(rows).select("page_id", "report_date", "count_researchers", "river_temp_f", "needs_review")
 
 
 @query("SELECT c_nationkey::BIGINT AS station, i::INT AS i, (DATE '2024-01-01' + i::INT)::DATE AS obs_date, CASE WHEN i % 3 = 2 THEN NULL ELSE c_nationkey + i / 2.0 END::DOUBLE AS low FROM (SELECT DISTINCT c_nationkey FROM customer), range(5) r(i)")

@@ -146,16 +146,64 @@ def test_payloads(spark):
     assert payloads.year_window(2027, D(2027, 1, 13)) == (D(2027, 1, 1), D(2027, 1, 12)) and payloads.year_window(2028, D(2027, 1, 13)) is None
 
 
-def test_extraction():
-    e = extract.resolve("Our researchers counted 512 animals this morning and the park counted 498. The river was 61.5°F and the air temperature was 44 F.")
-    assert (e.researchers, e.park, e.river_f, e.air_f, e.reasons) == (512, 498, 61.5, 44.0, [])
-    assert extract.resolve("We estimated 300 manatees.").estimate and extract.resolve("No count today.").no_count
-    late = extract.resolve("There were 12 additional manatees.")
-    assert (late.researchers, late.additional) == (None, 12) and "additional only" in late.reasons
-    assert extract.resolve("The count was 2,100 manatees.").reasons == ["count too high"]
-    html = "<html><title>Season 2024-2025</title><nav><p>January 9: 99 manatees</p></nav><p>December 30: we counted 20 animals</p><p>More text</p><p>Jan. 2, 2025 - the count is 31</p></html>"
-    got = extract.entries(extract.blocks(html), extract.infer_season(html, D(2025, 2, 1))[0])
-    assert [(d, extract.resolve(t).researchers) for d, t, _ in got] == [(D(2024, 12, 30), 20), (D(2025, 1, 2), 31)] and got[0][1].endswith("More text")
+RULES = extract.Prose(nouns=("seal", "seals", "sea cows"), events=("count", "beach survey", "beachsurvey"), places=("blue spring",))
+
+
+def test_numbers_and_parties():
+    r = lambda t: extract.resolve(t, rules=RULES)
+    e = r("Our researchers counted 512 seals this morning and the park counted 498. The river was 61.5°F and the air temperature was 44 F.")
+    assert (e.own, e.other, e.river_f, e.air_f, e.reasons) == (512, 498, 61.5, 44.0, [])
+    e = r("Our researchers counted 512 seals this morning, and the park counted 498.")
+    assert (e.own, e.other, e.reasons) == (512, 498, [])
+    assert r("We saw 300 seals; 310 by the rangers").other == 310 and r("186 seals by our staff while we had 191 sea cows").own == 191
+    assert r("We estimated 300 seals.").estimate and r("We had about 120 seals").estimate and not r("We had 120 seals, about noon").estimate
+    assert r("Staff had about 90 seals, we saw 12 seals and 30 extra seals").additional == [30]
+    late = r("There were 12 additional seals.")
+    assert (late.own, late.additional, late.reasons) == (None, [12], ["only late arrivals are counted"])
+    assert r("The count was 2,100 seals.").reasons == ["a count of 2100 is not plausible"]
+    assert r("The count went up to 31 today").own == 31 and r("The count at 72 F").own is None and r("The count is 8 a.m. today").own is None
+    assert r("We counted 1,2345 seals and 3.5 seals").own is None
+    assert r("Bob + 3 others were counted").summed and r("Bob and 3 others").summed and not r("and 3 other seals").summed
+    far = r("The park, with its many visitors and a long way from here to there and back, had no news. 40 seals")
+    assert (far.own, far.other) == (40, None)
+    assert r("It was 70 F. There were 51 seals at eight. Fine day.").count_text == "There were 51 seals at eight."
+
+
+def test_no_counts_and_places():
+    said = lambda t: extract.no_count(t, RULES) >= 0
+    for t in ("No count today.", "we couldn't do the beach survey", "no beachsurvey today", "Unable to do a count", "We were not able to get a count", "They were not counted", "did not do the beach survey"):
+        assert said(t), t
+    for t in ("no conference call today", "We counted 30 seals", "no one saw the count go up", "The survey was on the beach"):
+        assert not said(t), t
+    both = extract.resolve("No count today, yet we saw 20 seals", rules=RULES)
+    assert both.own == 20 and "a number, yet said not to be counted" in both.reasons
+    f = lambda t: extract.temperature(t, "spring", RULES.places)
+    assert f("at blue spring the water is 72 F") is None and f("BLUE SPRING was 72 F") is None
+    assert f("Warm spring water was 72 F") == 72 and f("Cold spring: 71 F") == 71 and f("the spring. It was 71 F") is None and f("spring; 71 F") is None
+    assert f("spring was 70.3° F (21.3°C)") == 70.3 and f("spring " + "x" * 70 + " 71 F") is None
+
+
+HTML = """<html><title>Season 2024 \u2013 2025</title><body><nav><p>January 9: 99 seals</p></nav><main><p>Intro</p><div class="entry-content">
+<noscript><p>January 8: 98 seals</p></noscript><p>December 30: we counted 20 seals<p>More text<p>Jan. 2, 2025 - the count is 31</p><p>January 2: nothing new</p><p>2/30: none</p>
+<p>Tuesday, January 7th, 2026: we counted 5 seals</p></div><p>January 20: 7 seals</p></main></body></html>"""
+
+
+def test_pages(spark):
+    assert extract.blocks("<p>x<p>y") == ["x", "y"] and extract.blocks("<div>a<br>b</div>") == ["a", "b"]
+    assert extract.blocks("<ul><li>a <b>c</b><li>b</ul><blockquote><p>q</p></blockquote>") == ["a c", "b", "q"]
+    assert extract.page_season("<h1>Winter 2023-2024</h1>") == "2023-2024" and extract.page_season("<p>2023-2024</p>") is None
+    season = extract.infer_season(HTML, D(2025, 2, 1))
+    got = extract.entries(extract.blocks(HTML), season)
+    assert season == "2024-2025" and [(d, t) for d, t, _ in got][:2] == [(D(2024, 12, 30), "we counted 20 seals More text"), (D(2025, 1, 2), "the count is 31")]
+    assert got[2][1] == "nothing new 2/30: none" and got[3][0] == D(2026, 1, 7) and got[3][2] == ["the year 2026 is not of the season"] and len(got) == 4
+    assert extract.entries(["January 2: x"], "2023-2024", "2024-2025")[0][2] == ["the page is of 2024-2025, not 2023-2024"]
+    assert extract.infer_season("<p>December 30: x</p>", D(2025, 7, 20)) == "2024-2025" and extract.infer_season("<p>July 3: x</p>", D(2025, 7, 20)) == "2025-2026"
+    pages = spark.createDataFrame([(1, HTML), (2, None), (3, "")], "page_id long, html string")
+    rows = extract.page_rows(pages, D(2025, 2, 1), rules=RULES).persist()
+    out = extract.reports(rows, since=D(2025, 1, 1)).orderBy("report_date").collect()
+    assert [(x.report_date, x.count_researchers) for x in out] == [(D(2025, 1, 2), 31), (D(2026, 1, 7), 5)]
+    text = extract.season_rows(rows, F.lit("u")).orderBy("date").collect()
+    assert len(text) == 4 and text[1].needs_review == "TRUE" and "this date has 2 entries" in text[1].review_reason and text[0].count_researchers == "20" and text[0].estimate == "FALSE"
 
 
 def test_regressions(spark):
@@ -193,8 +241,6 @@ def test_features_as_of_a_day(spark):
     out = model.daily_prediction(fitted, True, str(days[50]), counts, levels, forecast, 20.5).collect()
     assert len(out) == 1 and out[0].reason is None and out[0].predicted > 0 and (out[0].air_min, out[0].air_degree_days_below) == (11.0, 0.5)
     assert model.daily_prediction(fitted, False, str(days[50]), counts, levels, forecast, 20.5) is None
-    frame = spark.createDataFrame([(d, 5.0, 20.0 if i not in (6, 7) else None) for i, d in enumerate(days[:10])], "day date, c double, level double")
-    assert {x.day: x.reason for x in model.feature_frame(frame, "day", "c", "level", 21.0).collect()}[days[7]] is None
 
 
 def test_newest_known_skips_nulls(spark):
@@ -203,16 +249,19 @@ def test_newest_known_skips_nulls(spark):
 
 
 def test_export(spark, tmp_path):
-    df = spark.createDataFrame([(2, None, True), (1, 0.123456789, False)], "a int, b double, c boolean")
+    df = spark.createDataFrame([(2, None, True, 'a "b", c'), (1, 0.123456789, False, None), (None, 1e-7, None, "z"), (3, 250.0, True, "q")], "a int, b double, c boolean, d string")
     text = export.csv_text(df, ["a"])
-    assert text == "a,b,c\n1,0.123457,false\n2,,true\n"
-    assert export.write_if_changed(f"{tmp_path}/x.csv", text) and not export.write_if_changed(f"{tmp_path}/x.csv", text)
+    assert text == 'a,b,c,d\n1,0.123457,false,\n2,,true,"a ""b"", c"\n3,250,true,q\n,1e-07,,z\n'
+    folder = export.Folder(spark, f"file://{tmp_path}/out")
+    assert folder.publish({"x.csv": text}, "v1", "t1") == ["x.csv", "meta.csv"] and folder.publish({"x.csv": text}, "v1", "t2") == []
+    assert (tmp_path / "out" / "x.csv").read_text() == text and "t1" in (tmp_path / "out" / "meta.csv").read_text()
+    assert folder.publish({"x.csv": text}, "v2", "t3") == ["meta.csv"] and folder.publish({"x.csv": text + "4,,,\n"}, "v2", "t4") == ["x.csv", "meta.csv"]
 
 
 def test_text(spark):
-    df = spark.createDataFrame([('{"b":"1","a":"2"}', " a b–c  d ")], "j string, t string")
+    df = spark.createDataFrame([('{"b":"1","a":"2"}', "\u00a0a b–c  d—e ")], "j string, t string")
     got = df.select(tx.sorted_json(F.from_json("j", "map<string,string>")), tx.normalised(F.col("t")), tx.unit_problems(F.lit("oops"), {"a": "1"})).first()
-    assert tuple(got) == ('{"a":"2","b":"1"}', "a b-c d", ["unreadable"])
+    assert tuple(got) == ('{"a":"2","b":"1"}', "a b-c d - e", ["unreadable"])
 
 
 def test_streaming(spark, tmp_path):
