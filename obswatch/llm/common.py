@@ -149,6 +149,16 @@ def no_cycles() -> Iterator[None]:
             gc.enable()
 
 
+def quietly(task: Callable) -> Callable:
+    """A task of mapInArrow that runs under no_cycles()."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with no_cycles():
+            yield from task(batches)
+
+    return run
+
+
 def _arrow(kind: T.DataType) -> pa.DataType:
     from pyspark.sql.pandas.types import to_arrow_type
 

@@ -19,7 +19,6 @@ any other; an empty table gives no pieces. Copies are packed one by one.
 from __future__ import annotations
 
 import functools
-import gc
 import os
 import zlib
 from collections.abc import Iterator
@@ -31,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from obswatch.llm.common import MEMORIES, few, runs, settle, ship, table, written
+from obswatch.llm.common import MEMORIES, few, quietly, runs, settle, ship, table, written
 
 SIZE, GRAIN, END = 2048, 64, 1
 #: Parts of texts that a worker remembers, some 250 bytes each; texts are taken in runs of three times so many characters.
@@ -152,9 +151,9 @@ def pieces(docs: DataFrame, key: str, text: str, path: str, size: int = SIZE, gr
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "k"]
     last = np.array([end], "<u4").tobytes()
 
+    @quietly  # strings and bytes by the million
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         settle("packing")
-        gc.disable()  # strings and bytes by the million, and no cycles
         encode, part, counts = encoder(path, remembered), TaskContext.get().partitionId(), {}
         for b in batches:
             texts = b.column(1).to_pylist()
@@ -198,18 +197,19 @@ def best_pattern(lengths: np.ndarray, prices: np.ndarray, size: int) -> tuple[fl
     return float(value[size]), pattern
 
 
-def solve(lengths: np.ndarray, demand: np.ndarray, size: int, rounds: int = 1500) -> tuple[np.ndarray, np.ndarray]:
+def solve(lengths: np.ndarray, demand: np.ndarray, size: int, rounds: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
     """Column generation by the revised simplex method: the basis' patterns and their multiplicities.
 
-    It ends at the optimum, or after so many rounds at a cover that is feasible all the same.
+    It ends at the optimum, or as soon as the bound that the best pattern's worth gives leaves less than one
+    sequence to save; rounds guard against endless steps without gain, and a cover is feasible all the same.
     """
     basis = np.diag((size // lengths).astype(float))
     for _ in range(rounds):
         prices = np.linalg.solve(basis.T, np.ones(len(lengths)))
         worth, pattern = best_pattern(lengths, prices, size)
-        if worth <= 1 + 1e-7:
-            break
         x, d = np.linalg.solve(basis, demand), np.linalg.solve(basis, pattern)
+        if worth <= 1 + 1e-7 or x.sum() - x.sum() / worth < 0.5:
+            break
         ratio = np.where(d > 1e-9, np.maximum(x, 0) / np.where(d > 1e-9, d, 1), np.inf)
         basis[:, int(np.argmin(ratio))] = pattern
     return basis, np.maximum(np.linalg.solve(basis, demand), 0)
@@ -277,5 +277,7 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, copies and repeated rows one by one; a null or empty text is one end id, an
+    empty table gives no pieces, and columns but doc_id and text aren't looked at."""
     ship(spark)
     return pack(docs.select("doc_id", "text"), remembered=300_000)  # the executors still hold what earlier stages left

@@ -21,7 +21,6 @@ equal pieces; an empty table gives no rows. Input columns named as an output are
 from __future__ import annotations
 
 import functools
-import gc
 import heapq
 import itertools
 import re
@@ -34,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obswatch.llm.common import runs, table
+from obswatch.llm.common import quietly, runs, table
 
 MODEL = "piece_bpe_32k.model"
 BLANK = "▁"
@@ -350,8 +349,8 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str |
     at, ident = docs.columns.index(text), docs.columns.index(key)
     schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.BinaryType()), T.StructField("n_pieces", T.LongType())])
 
+    @quietly  # strings and bytes by the million
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()  # strings and bytes by the million, and no cycles
         encoder = Encoder(path, dropout, seed)
         for b in batches:
             texts = b.column(at).to_pylist()

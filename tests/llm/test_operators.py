@@ -639,3 +639,29 @@ def test_pipeline(spark):
         n = docs.count()
     last = written(corpus_pipeline.STAGES[-1][1](spark, docs, SF))
     assert {x["doc_id"] for x in last.select("doc_id").collect()} == {x["doc_id"] for x in docs.select("doc_id").collect()}
+
+
+@pytest.mark.parametrize("name", ["language_id", "quality_rules", "ngram_jaccard_join"])
+def test_stages_pass_odd_tables_through(spark, name):
+    """Nulls, long texts, ties, repeated rows and columns named as outputs; and empty tables."""
+    import corpus_pipeline
+
+    stage = dict(corpus_pipeline.STAGES)[name]
+    r = random.Random(4)
+    text = " ".join(r.choice(WORDS) + r.choice("abc") for _ in range(60))
+    rows = [(1, text, "en", "keep", 7, "x"), (1, text, "en", "keep", 7, "x"), (2, text + " end", None, "keep", 7, "x"), (None, None, "en", "keep", 7, "x"), (3, "", "en", "keep", 7, "x"), (4, "lang " * 300_000, "en", "keep", 7, "x")]
+    odd = spark.createDataFrame(rows, "doc_id long, text string, lang string, score string, n_words int, gone_node string")
+    odd = odd.withColumnsRenamed({"gone_node": "node"}).selectExpr("*", "score AS kept", "score AS own_n_words", "score AS row", "score AS class_id", "score AS languages", "score AS text_key")
+    out = stage(spark, odd, SF)
+    got = out.collect()
+    assert out.columns == odd.columns and all(x["score"] == "keep" and x["kept"] == "keep" and x["n_words"] == 7 and x["row"] == "keep" for x in got)
+    assert {x["text"] for x in got} <= {x[1] for x in rows} and (1 in {x["doc_id"] for x in got})
+    assert stage(spark, odd.limit(0), SF).count() == 0
+
+
+def test_operators_of_empty_tables(spark):
+    none = spark.createDataFrame([], "doc_id long, text string, lang string, ids string, n_pieces int, media string")
+    assert rules.measure(none).count() == 0 and language.detect(none, language.train(none)).count() == 0
+    assert pieces.encode(none).count() == 0 and flac.stored(none).count() == 0 and packing.stage(spark, none, SF).count() == 0
+    measured = written(classifier.measure(none))
+    assert measured.count() == 0
