@@ -96,9 +96,9 @@ def _scored(spark, sf, **asked):
     return model.scored(p, i, c, **asked)
 
 
-@query(f"WITH {_SCORED} SELECT made_on, target_date, model_version, round(predicted, 6) AS predicted, last_count AS persistence, round(abs(predicted - cnt), 3) AS model_error, round(abs(last_count - cnt), 3) AS persistence_error FROM p JOIN i USING (made_on, target_date) JOIN c ON c.report_date = p.target_date")
+@query(f"WITH {_SCORED} SELECT made_on, target_date, model_version, round(predicted, 6) AS predicted, last_count AS persistence, round(abs(predicted - cnt), 6) AS model_error, round(abs(last_count - cnt), 6) AS persistence_error FROM p JOIN i USING (made_on, target_date) JOIN c ON c.report_date = p.target_date")
 def scored_predictions(spark, sf):
-    return _scored(spark, sf).select("made_on", "target_date", "model_version", F.round("predicted", 6).alias("predicted"), "persistence", F.round("model_error", 3).alias("model_error"), F.round("persistence_error", 3).alias("persistence_error"))
+    return _scored(spark, sf).select("made_on", "target_date", "model_version", F.round("predicted", 6).alias("predicted"), "persistence", F.round("model_error", 6).alias("model_error"), F.round("persistence_error", 6).alias("persistence_error"))
 
 
 @query(f"WITH {_SCORED} SELECT count(*)::BIGINT AS n, round(avg(abs(predicted - cnt)), 3) AS mae_model, round(avg(abs(last_count - cnt)), 3) AS mae_persistence FROM p JOIN i USING (made_on, target_date) JOIN c ON c.report_date = p.target_date WHERE model_version = 'm1' AND NOT is_estimate")
