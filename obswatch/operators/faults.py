@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,6 +61,14 @@ def added_column(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.lit(None).cast("string"))
 
 
+def random_column(df: DataFrame, keys: list[str], seed: int, kept: tuple[str, ...] = ("run_id", "ingested_at")) -> str:
+    """A column to hurt: neither a key nor one of bookkeeping; the same for a seed, whatever the columns' order."""
+    free = sorted(set(df.columns) - set(keys) - set(kept))
+    if not free:
+        raise ValueError("all columns are keys or bookkeeping")
+    return random.Random(seed).choice(free)
+
+
 def schema_difference(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
     return {"missing": sorted(set(columns) - set(df.columns)), "added": sorted(set(df.columns) - set(columns))}
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from obswatch.functions import calendar as cal
 from obswatch.functions import text as tx
 from obswatch.operators import checks, series, state
 from obswatch.plans.registry import query
@@ -69,15 +70,15 @@ def volume(spark, sf):
     return checks.volume(counts, expected).select("source", "row_count", "failed")
 
 
-@query(f"""WITH {_RUNS}, w AS (SELECT *, started_at::DATE AS run_date,
+@query(f"""WITH {_RUNS}, z AS (SELECT *, timezone('America/New_York', timezone('UTC', started_at::TIMESTAMP))::DATE AS run_date FROM runs), w AS (SELECT *,
   max(started_at) FILTER (WHERE status = 'succeeded') OVER (PARTITION BY source ORDER BY started_at, event_id ROWS UNBOUNDED PRECEDING) AS last_success,
-  row_number() OVER (PARTITION BY source, started_at::DATE ORDER BY started_at DESC, event_id DESC) AS r,
-  list(rate) FILTER (WHERE rate IS NOT NULL) OVER (PARTITION BY source ORDER BY started_at, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM runs)
+  row_number() OVER (PARTITION BY source, run_date ORDER BY started_at DESC, event_id DESC) AS r,
+  list(rate) FILTER (WHERE rate IS NOT NULL) OVER (PARTITION BY source ORDER BY started_at, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM z)
 SELECT run_date, source, status, last_success, round(rate, 4) AS null_rate, round(list_avg(list_slice(seen, greatest(len(seen) - 29, 1)::BIGINT, len(seen)::BIGINT)), 8) AS null_rate_normal FROM w WHERE r = 1""")
 def source_status(spark, sf):
     order = ["started_at", "event_id"]
     w = W.partitionBy("source").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    log = series.trailing_mean(runs(spark, sf), "rate", ["source"], order, 30, "normal").withColumn("last_success", F.max(F.when(F.col("status") == "succeeded", F.col("started_at"))).over(w)).withColumn("run_date", F.to_date("started_at"))
+    log = series.trailing_mean(runs(spark, sf), "rate", ["source"], order, 30, "normal").withColumn("last_success", F.max(F.when(F.col("status") == "succeeded", F.col("started_at"))).over(w)).withColumn("run_date", cal.local_date(F.col("started_at")))
     return series.latest(log, ["source", "run_date"], *map(F.desc, order)).select("run_date", "source", "status", "last_success", F.round("rate", 4).alias("null_rate"), F.round("normal", 8).alias("null_rate_normal"))
 
 

@@ -275,6 +275,111 @@ def test_streaming(spark, tmp_path):
     assert s.read("t").count() == 2
 
 
+def test_store_parts_and_runs(spark, tmp_path):
+    specs = [
+        TableSpec("t", "d date, v double, run_id string, ingested_at timestamp", ("d",), "year(d)"),
+        TableSpec("raw", "run_id string, payload string, payload_sha256 string", ("run_id",)),
+        TableSpec("runs", "run_id string, source string, status string, error string, started_at timestamp, finished_at timestamp, payload_sha256 string", ("run_id",)),
+    ]
+    s = Store(spark, f"file://{tmp_path}/s", specs)
+    rows = lambda *x: (lambda raw: {"t": spark.createDataFrame(list(x), "d date, v double").coalesce(1)})
+    s.ingest("runs", "raw", {"run_id": "a", "source": "x"}, "p", rows((D(2020, 1, 1), 1.0), (D(2021, 1, 1), 2.0), (None, 3.0)))
+    before = s.manifest()["t"]
+    assert set(before) == {"2020", "2021", "null"}
+    s.ingest("runs", "raw", {"run_id": "b", "source": "x"}, None, rows((D(2021, 1, 1), 5.0), (D(2021, 2, 1), 6.0), (D(2022, 1, 1), 7.0)))
+    after = s.manifest()["t"]
+    assert after["2020"] == before["2020"] and after["2021"] != before["2021"] and set(after) == {"2020", "2021", "2022", "null"}
+    got = {(r.d, r.v, r.run_id) for r in s.read("t").where("ingested_at is not null").collect()}
+    assert got == {(D(2020, 1, 1), 1.0, "a"), (D(2021, 1, 1), 5.0, "b"), (D(2021, 2, 1), 6.0, "b"), (D(2022, 1, 1), 7.0, "b"), (None, 3.0, "a")}
+    log = {r.run_id: r for r in s.read("runs").collect()}
+    assert log["a"].payload_sha256 and log["b"].payload_sha256 is None and log["a"].started_at <= log["a"].finished_at
+
+    def broken():
+        raise OSError("no route")
+
+    with pytest.raises(OSError, match="no route"):
+        s.fetched("runs", "raw", {"run_id": "c", "source": "x"}, broken, rows())
+    bad = lambda raw: {"t": rows((D(2020, 1, 1), 0.0))(raw)["t"].withColumn("v", F.raise_error(F.lit("odd")).cast("double"))}
+    with pytest.raises(RuntimeError, match="run d"):
+        s.fetched("runs", "raw", {"run_id": "d", "source": "x"}, lambda: "q", bad)
+    assert {r.run_id: r.status for r in s.read("runs").collect()} == {"a": "succeeded", "b": "succeeded", "c": "failed", "d": "failed"}
+    copy = s.copy_to(f"file://{tmp_path}/copy")
+    copy.commit({"t": faults.null_spike(copy.read("t"), "v", ["d"], 1.0)})
+    assert copy.read("t").where("v is null").count() == 5 and s.read("t").where("v is null").count() == 0
+    with pytest.raises(ValueError):
+        s.copy_to(f"file://{tmp_path}/s/inside")
+    assert s.backup(f"file://{tmp_path}/out") == ["raw", "runs", "t"]
+    assert [r.v for r in spark.read.option("header", True).schema("d date, v double, run_id string, ingested_at timestamp").csv(f"file://{tmp_path}/out/t").coalesce(1).collect()] == [1.0, 5.0, 6.0, 7.0, 3.0]
+    assert s.prune(1) and s.read("t").count() == 5
+
+
+def test_more_payloads(spark):
+    text = '{"daily":{"time":["2024-01-10"],"t":[1.5]},"hourly":{"time":["2024-01-10T00:00","2024-01-10T01:00"],"h":[1,2]}}'
+    raw = spark.createDataFrame([(text,)], "p string")
+    out = payloads.archive_rows(raw, "p", ["t"], ["h"])
+    assert [tuple(r) for r in out["daily"].collect()] == [(1.5, D(2024, 1, 10))]
+    assert [tuple(r) for r in out["hourly"].collect()] == [(1.0, dt.datetime(2024, 1, 10)), (2.0, dt.datetime(2024, 1, 10, 1))]
+    with pytest.raises(Exception, match="oops"):
+        payloads.hourly_rows(spark.createDataFrame([(text.replace("2024-01-10T01:00", "oops"),)], "p string"), "p", "hourly", ["h"]).collect()
+    f = payloads.forecast_rows(raw, "p", "daily", ["t"], F.lit("2024-01-10 03:00:00").cast("timestamp_ntz")).first()
+    assert (f.target_date, f.issue_date) == (D(2024, 1, 10), D(2024, 1, 9))
+    pages = spark.createDataFrame([("/c/b.html", "B"), ("/c/a.html", "A"), ("/c/z.html", "Z")], "path string, payload string")
+    wanted = spark.createDataFrame([("s1", 1, "gone.html"), ("s1", 2, "b.html"), ("s1", 3, "a.html"), ("s2", 1, "no.html")], "season string, rank int, name string")
+    assert {r.season: r.payload for r in payloads.season_pages(pages, wanted).collect()} == {"s1": "B", "s2": None}
+    assert payloads.fetch_window(D(2027, 1, 9), 7, D(2026, 1, 1), D(2027, 1, 13), 6) == (D(2027, 1, 2), D(2027, 1, 7))
+    assert payloads.fetch_window(None, 7, D(2027, 1, 13), D(2027, 1, 13), 6) is None
+
+    def run(a, b):
+        if a.year == 2025:
+            raise OSError("down")
+
+    assert payloads.backfill(2024, 2030, D(2027, 1, 13), run) == {2025: "down"}
+    df = spark.createDataFrame([(1, 2, 3, "r")], "k int, b int, a int, run_id string")
+    assert faults.random_column(df, ["k"], 5) == faults.random_column(df.select("run_id", "a", "b", "k"), ["k"], 5) in ("a", "b")
+    with pytest.raises(ValueError):
+        faults.random_column(df, ["k", "a", "b"], 5)
+
+
+def _streamed(spark, tmp_path, batches, schema, make):
+    """The rows that a streaming query gives, batch by batch."""
+    src, seen = f"{tmp_path}/in", []
+    spark.createDataFrame([], schema).write.parquet(src)
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        q = make(spark.readStream.schema(schema).parquet(src)).foreachBatch(lambda df, n: seen.extend((i, *r) for r in df.collect()))
+        q.option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start().awaitTermination(120)
+    return seen
+
+
+def test_streamed_incidents(spark, tmp_path):
+    from obswatch.streaming import watch
+
+    at = lambda n: dt.datetime(2024, 1, n)
+    batches = [[("s", "c", at(2), True), ("s", "c", at(1), False), ("s", "d", at(1), None)], [("s", "c", at(3), True), ("t", "c", at(3), True)], [("s", "c", at(5), True), ("s", "c", at(4), False)]]
+    got = _streamed(spark, tmp_path, batches, "source string, check_name string, at timestamp, failed boolean", lambda x: watch.incidents(x).writeStream)
+    assert sorted(got, key=str) == sorted([(0, "s", "c", at(2), None), (1, "t", "c", at(3), None), (2, "s", "c", at(2), at(4)), (2, "s", "c", at(5), None)], key=str)
+
+
+def test_streamed_seasons(spark, tmp_path):
+    from obswatch.streaming import watch
+
+    batches = [[(dt.datetime(2026, 11, 2),), (dt.datetime(2027, 2, 26),)], [(dt.datetime(2027, 3, 4),)], [(dt.datetime(2027, 11, 3),)], [(dt.datetime(2027, 11, 4),)]]
+    got = _streamed(spark, tmp_path, batches, "at timestamp", lambda x: watch.season_changes(x, "at").writeStream)
+    assert [r[1:] for r in got if r[1] == 2026] == [(2026, "open", D(2026, 11, 2), None), (2026, "closed", D(2026, 11, 2), D(2027, 3, 11))]
+    assert [r[1:] for r in got if r[1] == 2027] == [(2027, "open", D(2027, 11, 3), None)]
+
+
+def test_streamed_freshness(spark, tmp_path):
+    from obswatch.streaming import watch
+
+    batches = [[("a", dt.datetime(2024, 1, 1))], [("b", dt.datetime(2024, 1, 9)), ("a", dt.datetime(2024, 1, 3))]]
+    got = _streamed(spark, tmp_path, batches, "source string, ts timestamp", lambda x: watch.last_seen(x, "source", "ts").writeStream.outputMode("complete"))
+    seen = spark.createDataFrame([r[1:] for r in got if r[0] == 1], "source string, last_seen timestamp")
+    wanted = spark.createDataFrame([("a",), ("b",), ("c",)], "source string")
+    out = {r.source: r.failed for r in watch.freshness(seen, wanted, F.lit("2024-01-10").cast("timestamp")).collect()}
+    assert out == {"a": True, "b": False, "c": True}
+
+
 def _plain(v):
     if v is None or v != v:
         return None
