@@ -7,7 +7,10 @@ seed gives the same segmentation, another seed another one, and each occurrence
 own. Without dropout the ids are those of the sentencepiece library.
 
 Chunks are remembered without dropout, with the merges that came up. An occurrence of which none of those
-is skipped has the same ids; the others are merged one by one.
+is skipped has the same ids. For others, the first merge that is skipped leads to a branch: the chunk merged
+without that place, remembered in the same way, on which the occurrence's draws go on. Branches that one
+occurrence alone asks for, and those of long chunks, are merged for that occurrence by its draws; the ids are
+the same by either way.
 
 No piece of the model has a blank after another character or holds a line break, so that texts fall into
 chunks which merges never cross. Short chunks are merged many at once, one merge of each in a step; long
@@ -88,7 +91,7 @@ class Model:
             for c in range(1, len(t)):
                 a, b = self.id.get(t[:c]), self.id.get(t[c:])
                 if a is not None and b is not None:
-                    pairs[a * self.size + b] = i
+                    pairs[int(self._pair(np.int64(a), np.int64(b)))] = i
         bits = max(4, len(pairs).bit_length() + 3)
         self.shift, self.keys = np.uint64(64 - bits), np.full((1 << bits) + 64, -1, np.int64)
         self.merged = np.full((1 << bits) + 64, self.size, np.int32)
@@ -101,24 +104,26 @@ class Model:
             self.keys[h], self.merged[h], self.probes = k, i, max(self.probes, n)
         self.order = order
 
+    def _pair(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """A number for a pair of symbols from -2 to the model's size."""
+        return (a.astype(np.int64) + 2) * (self.size + 3) + (b + 2)
+
     def merge(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """What pairs of symbols merge to, and the rank of that; symbols under 0 or of the model's size never merge."""
-        ok = (a >= 0) & (b >= 0) & (a < self.size) & (b < self.size)
-        key = np.where(ok, a.astype(np.int64) * self.size + b, -2)
-        h = (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
-        out = np.full(key.shape, self.size, np.int32)
-        for n in range(self.probes):
-            hit = self.keys[h + n] == key
-            if n == 0:
-                out = np.where(hit, self.merged[h], out)
-                todo = ok & ~hit & (self.keys[h] >= 0)
-                if not todo.any():
-                    break
-            else:
-                out = np.where(hit & todo, self.merged[h + n], out)
-                todo &= ~hit & (self.keys[h + n] >= 0)
-                if not todo.any():
-                    break
+        key = self._pair(a, b)
+        h = (key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).view(np.int64)
+        there = self.keys[h]
+        hit = there == key
+        out = np.where(hit, self.merged[h], np.int32(self.size))
+        todo = np.flatnonzero((there >= 0) & ~hit)
+        for _ in range(1, self.probes):
+            if not len(todo):
+                break
+            h[todo] += 1
+            there = self.keys[h[todo]]
+            hit = there == key[todo]
+            out[todo[hit]] = self.merged[h[todo[hit]]]
+            todo = todo[(there >= 0) & ~hit]
         return out, self.order[out]
 
 
@@ -133,6 +138,11 @@ def _dropped(key: np.ndarray, start: np.ndarray, end: np.ndarray, dropout: float
     return (h >> np.uint64(11)).astype(np.float64) * 2.0**-53 < dropout
 
 
+def _place(chunk: np.ndarray | int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A number for a place in a chunk of up to LONG characters."""
+    return (chunk * 64 + start) * 64 + end
+
+
 def _crcs(chunks: list[str]) -> np.ndarray:
     return np.fromiter((zlib.crc32(c.encode("utf-8", "surrogatepass")) for c in chunks), np.uint64, len(chunks))
 
@@ -203,8 +213,10 @@ def _long(m: Model, chunk: str, key: int, dropout: float, made: list | None = No
     return _written(m, [sym[i] for i in starts], chunk, starts)
 
 
-def _short(m: Model, chunks: list[str], keys: np.ndarray, dropout: float, made: list | None = None) -> list[bytes]:
-    """Chunks of similar length, one merge of each in a step; made takes chunks, starts and ends of their merges."""
+def _short(m: Model, chunks: list[str], keys: np.ndarray, dropout: float, made: list | None = None, barred: np.ndarray | None = None) -> list[bytes]:
+    """Chunks of similar length, one merge of each in a step; made takes chunks, starts and ends of their merges.
+
+    barred: sorted codes of places (_place, by the chunk's number, which is then its key) that aren't merged."""
     n, width = len(chunks), max(map(len, chunks)) + 1
     size = m.size
     sym = np.full((n, width), -1, np.int32)
@@ -229,8 +241,9 @@ def _short(m: Model, chunks: list[str], keys: np.ndarray, dropout: float, made:
         c = col[row]
         at = first[row] + c
         gone = after[at]
-        if dropout:
-            skip = _dropped(keys[row], c, after[gone] - first[row], dropout)
+        if dropout or barred is not None:
+            to = after[gone] - first[row]
+            skip = _dropped(keys[row], c, to, dropout) if barred is None else np.isin(_place(keys[row].astype(np.int64), c, to), barred)
             rank[row[skip], c[skip]] = _NONE
             row, c, at, gone = row[~skip], c[~skip], at[~skip], gone[~skip]
         if made is not None:
@@ -262,43 +275,99 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        """Remembered chunks: numbers, ids without dropout, crc32, and bounds of their merges in starts and ends."""
+        """Remembered chunks and branches: ids, and bounds of their merges in starts and ends; numbers and crc32
+        of chunks; by number, the chunk and the places that a branch doesn't merge; branches by number and merge."""
         self.known: dict[str | None, int] = {None: 0}
         self.plain = [np.array([self.model.byte[b] for b in BLANK.encode()], "<u4").tobytes()]
         self.crcs, self.bounds = np.zeros(1, np.uint64), np.zeros(2, np.int64)
+        self.chunk, self.long = [""], np.zeros(1, bool)
+        self.without: list[tuple[int, ...]] = [()]
+        self.branches: dict[int, int] = {}
         self.starts, self.ends = np.zeros(0, np.int32), np.zeros(0, np.int32)
 
-    def merged(self, chunks: list[str], keys: np.ndarray, dropout: float, made: list | None = None) -> list[bytes]:
-        """Ids of chunks; made takes arrays of chunks, starts and ends of merges."""
-        out, by = [b""] * len(chunks), {}
-        for i, c in enumerate(chunks):
-            if len(c) > LONG:
-                own: list[tuple[int, int]] | None = None if made is None else []
-                out[i] = _long(self.model, c, int(keys[i]), dropout, own)
-                if own:
-                    made.append((np.full(len(own), i), *np.array(own).T))
-            else:
-                by.setdefault((len(c) + 2) // 3, []).append(i)
-        for group in by.values():
-            for a in range(0, len(group), 8192):
-                some, own = np.array(group[a : a + 8192]), None if made is None else []
-                for i, ids in zip(some.tolist(), _short(self.model, [chunks[i] for i in some], keys[some], dropout, own), strict=True):
-                    out[i] = ids
-                if own:
-                    made += [(some[rows], start, end) for rows, start, end in own]
-        return out
+    def merged(self, chunks: list[str], keys: np.ndarray, dropout: float, made: list | None = None, without: list[tuple[int, ...]] | None = None) -> list[bytes]:
+        """Ids of chunks; made takes arrays of chunks, starts and ends of merges. without: the places of each chunk, none
+        of them long, that aren't merged, instead of draws."""
+        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        group = np.where(sizes > LONG, -1, (sizes + 2) // 3)
+        order = np.argsort(group, kind="stable")
+        found: list[bytes] = []
+        for i in order[: int((group < 0).sum())].tolist():
+            own: list[tuple[int, int]] | None = None if made is None else []
+            found.append(_long(self.model, chunks[i], int(keys[i]), dropout, own))
+            if own:
+                made.append((np.full(len(own), i), *np.array(own).T))
+        cuts = np.flatnonzero(np.diff(group[order], prepend=-1)).tolist()
+        for first, last in zip(cuts, [*cuts[1:], len(order)], strict=True):
+            for a in range(first, last, 8192):
+                some, steps = order[a : min(last, a + 8192)], None if made is None else []
+                barred, own_keys = None, keys[some]
+                if without is not None:
+                    barred, own_keys = np.array([_place(n, 0, p) for n, i in enumerate(some.tolist()) for p in without[i]], np.int64), np.arange(len(some))
+                found += _short(self.model, [chunks[i] for i in some.tolist()], own_keys, dropout, steps, barred)
+                if steps:
+                    made += [(some[rows], start, end) for rows, start, end in steps]
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        return list(map(found.__getitem__, place.tolist()))
 
     def learn(self, chunks: list[str]) -> None:
+        self.known.update(zip(chunks, range(len(self.plain), len(self.plain) + len(chunks)), strict=True))
+        self._remember(chunks, [()] * len(chunks), _crcs(chunks))
+
+    def _remember(self, chunks: list[str], without: list[tuple[int, ...]], crcs: np.ndarray) -> None:
         made: list = []
-        self.plain += self.merged(chunks, np.zeros(len(chunks), np.uint64), 0.0, made)
-        self.known.update(zip(chunks, range(len(self.known), len(self.known) + len(chunks)), strict=True))
-        self.crcs = np.concatenate([self.crcs, _crcs(chunks)])
+        self.plain += self.merged(chunks, np.zeros(len(chunks), np.uint64), 0.0, made, without if any(without) else None)
+        self.chunk += chunks
+        self.without += without
+        self.crcs = np.concatenate([self.crcs, crcs])
+        self.long = np.concatenate([self.long, np.fromiter((len(c) > LONG for c in chunks), bool, len(chunks))])
         rows, starts, ends = (np.concatenate([np.zeros(0, np.int64), *(x[i] for x in made)]) for i in range(3))
         order = np.argsort(rows, kind="stable")
         self.starts = np.concatenate([self.starts, starts[order].astype(np.int32)])
         self.ends = np.concatenate([self.ends, ends[order].astype(np.int32)])
         self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(np.bincount(rows, minlength=len(chunks)))])
 
+    def _branch(self, codes: list[int]) -> range:
+        """Remembers branches; a code is a number and the number's merge that is skipped first."""
+        chunks, without = [], []
+        for code in codes:
+            node, merge = code >> 6, int(self.bounds[code >> 6]) + (code & 63)
+            chunks.append(self.chunk[node])
+            without.append((*self.without[node], int(_place(0, self.starts[merge], self.ends[merge]))))
+        new = range(len(self.plain), len(self.plain) + len(codes))
+        self._remember(chunks, without, np.zeros(len(codes), np.uint64))
+        self.branches.update(zip(codes, new, strict=True))
+        return new
+
+    def _skips(self, nodes: np.ndarray, drawn: np.ndarray) -> np.ndarray:
+        """The first merge of each that its draws skip; -1 if none."""
+        n = self.bounds[nodes + 1] - self.bounds[nodes]
+        which = np.repeat(np.arange(len(nodes)), n)
+        nth = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
+        merge = nth + np.repeat(self.bounds[nodes], n)
+        hit = np.flatnonzero(_dropped(drawn[which], self.starts[merge], self.ends[merge], self.dropout))
+        out = np.full(len(nodes), -1)
+        some, first = np.unique(which[hit], return_index=True)
+        out[some] = nth[hit[first]]
+        return out
+
+    def _vary(self, nodes: np.ndarray, drawn: np.ndarray) -> np.ndarray:
+        """Moves occurrences to the branches that their draws lead to; those that are to be merged by themselves get -1."""
+        nodes, live = nodes.copy(), np.arange(len(nodes))
+        while len(live):
+            first = np.concatenate([self._skips(nodes[x], drawn[x]) for x in np.split(live, range(65536, len(live), 65536))])
+            live, first = live[first >= 0], first[first >= 0]
+            code, back, count = np.unique(nodes[live] * 64 + first, return_inverse=True, return_counts=True)
+            to = np.fromiter(map(self.branches.get, code.tolist(), itertools.repeat(-1)), np.int64, len(code))
+            short = ~self.long[code >> 6]
+            new = np.flatnonzero((to < 0) & (count > 1) & short)[: max(0, KNOWN - len(self.plain))]
+            if len(new):
+                to[new] = self._branch(code[new].tolist())
+            nodes[live] = np.where(short, to, -1)[back]
+            live = live[nodes[live] >= 0]
+        return nodes
+
     def chunks(self, text: str) -> list[str]:
         """A text's chunks; those of blank signs in the text itself are None."""
         out: list[str | None] = []
@@ -310,26 +379,23 @@ class Encoder:
         return out
 
     def __call__(self, texts: list[str | None], keys: list[int]) -> list[bytes]:
-        if len(self.known) > KNOWN:
+        if len(self.plain) > KNOWN:
             self.forget()
         parts = [self.chunks(t or "") for t in texts]
         sizes = [len(p) for p in parts]
         flat = list(itertools.chain.from_iterable(parts))
         if lacking := set(flat).difference(self.known):
-            self.learn(sorted(lacking))
+            self.learn(list(lacking))
         at = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
-        out = list(map(self.plain.__getitem__, at.tolist()))
+        alone, ids = np.zeros(0, np.int64), []
         if self.dropout and flat:
             drawn = _keyed(self.crcs[at], _occurrences(self.seed, keys, sizes))
-            for a in range(0, len(at), 65536):
-                some = at[a : a + 65536]
-                n = self.bounds[some + 1] - self.bounds[some]
-                which = np.repeat(np.arange(len(some)), n)
-                merge = np.arange(len(which)) + np.repeat(self.bounds[some] - np.cumsum(n) + n, n)
-                skipped = _dropped(drawn[a : a + 65536][which], self.starts[merge], self.ends[merge], self.dropout)
-                varied = np.unique(which[skipped]) + a
-                for i, ids in zip(varied.tolist(), self.merged([flat[i] for i in varied], drawn[varied], self.dropout), strict=True):
-                    out[i] = ids
+            at = self._vary(at, drawn)
+            alone = np.flatnonzero(at < 0)
+            ids = self.merged([flat[i] for i in alone.tolist()], drawn[alone], self.dropout)
+        out = list(map(self.plain.__getitem__, at.tolist()))
+        for i, x in zip(alone.tolist(), ids, strict=True):
+            out[i] = x
         ends = itertools.accumulate(sizes)
         return [b"".join(out[z - n : z]) for n, z in zip(sizes, ends, strict=True)]
 

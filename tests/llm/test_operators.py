@@ -405,6 +405,22 @@ def test_every_occurrence_has_its_own_draws():
     assert len(set(each)) > 4
 
 
+def test_branches_give_the_ids_of_single_merging(monkeypatch):
+    """Chunks that come often are taken from branches; each must have the ids of its own draws."""
+    r = random.Random(7)
+    words = ["".join(r.choice("aeinst") for _ in range(r.randint(1, 14))) for _ in range(60)] + ["counting" * 9, "\ue000x"]
+    texts = [" ".join(r.choice(words[: 5 + n % 57]) for _ in range(300)) for n in range(40)]
+    for most in (400_000, 70):
+        monkeypatch.setattr(pieces, "KNOWN", most)
+        e = pieces.Encoder(pieces.model_path(), 0.3)
+        got = [x for a in range(0, 40, 10) for x in e(texts[a : a + 10], list(range(a, a + 10)))]
+        for n, text in enumerate(texts):
+            chunks = e.chunks(text)
+            keys = pieces._keyed(pieces._crcs(chunks), pieces._occurrences(e.seed, [n], [len(chunks)]))
+            assert got[n] == b"".join(e.merged(chunks, keys, 0.3))
+        assert most == 70 or max(map(len, e.without)) > 2
+
+
 def test_heap_and_lockstep_agree():
     m, r = pieces.model(pieces.model_path()), random.Random(2)
     for _ in range(100):
