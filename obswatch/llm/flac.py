@@ -3,7 +3,7 @@
 The encoder cuts samples into frames, picks a constant, verbatim, fixed or linear predictor for each and
 writes the residuals as Rice codes; a seek table has the offset of every frame. The decoder verifies the
 checksums of headers and frames and the stream's md5, decodes Rice codes and predictors, and gives PCM
-blocks by sample offset. Frames don't depend on each other, so both work on many frames at once: numpy
+blocks by sample offset; streams of other encoders are read by flacstream. Frames don't depend on each other, so both work on many frames at once: numpy
 takes the n-th sample of all frames of a group in one step, and groups are of bounded size.
 
 Defined results: a null text is empty; a payload is the UTF-8 of a text and bytes 0 up to a positive
@@ -421,19 +421,37 @@ def features(media: DataFrame) -> DataFrame:
 
 
 def pcm_blocks(media: DataFrame, key: str, samples: int = 65536) -> DataFrame:
-    """A row for each block of samples: key, sample_offset, n_samples, pcm (signed 8-bit)."""
+    """A row for each block of samples: key, sample_offset, n_samples, pcm (signed, little-endian, channels by turns).
+
+    The files may be of any FLAC encoder; a null one has no blocks."""
     kind = media.schema[key].dataType.simpleString()
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from obswatch.llm import flacstream
+
         for b in batches:
             for i, f in enumerate(b.column(1).to_pylist()):
-                for a in range(0, parse(f)[0], samples):
-                    pcm = (np.frombuffer(read_at(f, a, samples), np.uint8) ^ 0x80).tobytes()
-                    yield pa.RecordBatch.from_arrays([b.column(0).slice(i, 1), pa.array([a], pa.int64()), pa.array([len(pcm)], pa.int64()), pa.array([pcm])], names=[key, "sample_offset", "n_samples", "pcm"])
+                for at, n, pcm in () if f is None else _own_blocks(f, samples) if _is_own(f) else flacstream.blocks(f, samples):
+                    yield pa.RecordBatch.from_arrays([b.column(0).slice(i, 1), pa.array([at], pa.int64()), pa.array([n], pa.int64()), pa.array([pcm])], names=[key, "sample_offset", "n_samples", "pcm"])
 
     return media.select(key, "media").mapInArrow(task, f"{key} {kind}, sample_offset long, n_samples long, pcm binary")
 
 
+def _is_own(media: bytes) -> bool:
+    """Whether the stream information is that of this encoder: 8 bits, mono, frames of one size, at the known rate; then it
+    says so by a seek point a frame."""
+    if media[:5] != b"fLaC\0" or media[8:12] != struct.pack(">HH", FRAME, FRAME):
+        return False
+    total, _, points = parse(media)
+    return int.from_bytes(media[18:26], "big") >> 36 == RATE << 8 | 7 and [(s, n) for s, _, n in points] == [(a, min(FRAME, total - a)) for a in range(0, total, FRAME)]
+
+
+def _own_blocks(media: bytes, samples: int) -> Iterator[tuple[int, int, bytes]]:
+    for a in range(0, parse(media)[0], samples):
+        pcm = (np.frombuffer(read_at(media, a, samples), np.uint8) ^ 0x80).tobytes()
+        yield a, len(pcm), pcm
+
+
 def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text as FLAC, read back."""
     return features(stored(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_bytes", "media"))

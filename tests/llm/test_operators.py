@@ -681,3 +681,123 @@ def test_operators_of_empty_tables(spark):
     assert pieces.encode(none).count() == 0 and flac.stored(none).count() == 0 and packing.stage(spark, none, SF).count() == 0
     measured = written(classifier.measure(none))
     assert measured.count() == 0
+
+
+class _Writer:
+    """Bits of a FLAC frame, written plainly."""
+
+    def __init__(self):
+        self.bits = ""
+
+    def put(self, value, n):
+        self.bits += format(value & ((1 << n) - 1), f"0{n}b") if n else ""
+        return self
+
+    def rice(self, value, k):
+        z = 2 * value if value >= 0 else -2 * value - 1
+        self.bits += "0" * (z >> k) + "1"
+        return self.put(z, k)
+
+    def bytes(self):
+        self.bits += "0" * (-len(self.bits) % 8)
+        return bytes(int(self.bits[i : i + 8], 2) for i in range(0, len(self.bits), 8))
+
+
+def _crc(data, poly, bits):
+    c = 0
+    for x in data:
+        c ^= x << (bits - 8)
+        for _ in range(8):
+            c = (c << 1) ^ (poly if c >> (bits - 1) & 1 else 0) & ((1 << bits) - 1)
+            c &= (1 << bits) - 1
+    return c
+
+
+def _flac_frame(number, size, channel_code, subframes):
+    """A frame of 16-bit samples; the size is written in 16 bits."""
+    head = bytes([0xFF, 0xF8, 0x79, channel_code << 4 | 8]) + chr(number).encode() + (size - 1).to_bytes(2, "big")
+    w = _Writer()
+    for s in subframes:
+        s(w)
+    body = head + bytes([_crc(head, 7, 8)]) + w.bytes()
+    return body + _crc(body, 0x8005, 16).to_bytes(2, "big")
+
+
+def _linear(x, order, coefs, shift, bits, wasted=0, parts=0, escape=False, wide=4):
+    """A subframe with a linear predictor (or a fixed one, if coefs is None)."""
+
+    def write(w):
+        y = [v >> wasted for v in x]
+        w.put(0, 1).put(8 + order if coefs is None else 31 + order, 6).put(wasted > 0, 1)
+        w.put(1, wasted)
+        for v in y[:order]:
+            w.put(v, bits - wasted)
+        own = coefs if coefs is not None else {2: [2, -1], 4: [4, -6, 4, -1]}[order]
+        if coefs is not None:
+            w.put(14, 4).put(shift, 5)
+            for c in coefs:
+                w.put(c, 15)
+        w.put(wide - 4, 2).put(parts, 4)
+        res = [y[i] - (sum(c * y[i - 1 - j] for j, c in enumerate(own)) >> shift) for i in range(order, len(y))]
+        step = len(y) >> parts
+        for p in range(1 << parts):
+            some = res[max(0, p * step - order) : (p + 1) * step - order]
+            if escape and p == 1:
+                n = max(v.bit_length() for v in some) + 1
+                w.put((1 << wide) - 1, wide).put(n, 5)
+                for v in some:
+                    w.put(v, n)
+            else:
+                w.put(3 + p, wide)
+                for v in some:
+                    w.rice(v, 3 + p)
+
+    return write
+
+
+def test_streams_of_other_encoders(spark):
+    import hashlib
+
+    from obswatch.llm import flacstream
+
+    # the first example of the format's public description, with its checksums
+    one = bytes.fromhex("664c6143800000221000100000000f00000f0ac442f0000000013e84b41807dc690307586a3dad1a2e0ffff869180000bf0358fd03128baa9a")
+    assert list(flacstream.blocks(one, 4)) == [(0, 1, (25588).to_bytes(2, "little") + (10416).to_bytes(2, "little"))]
+    rnd, size = random.Random(3), 64
+    wave = lambda a: [int(900 * np.sin(i / 9 + a)) + rnd.randint(-40, 40) for i in range(size)]
+    coefs = [9000, -3000, 800, -500, 200, 90, -50, 30, -20, 10, 5, -3]
+    parts, want = [], []
+    for n, code in enumerate((1, 8, 9, 10)):
+        left, right = wave(n), [4 * (v // 4) for v in wave(n + 1)]
+        side = [a - b for a, b in zip(left, right, strict=True)]
+        mid = [(a + b) >> 1 for a, b in zip(left, right, strict=True)]
+        subs = {
+            1: [_linear(left, 12, coefs, 13, 16, parts=2), _linear(right, 2, None, 0, 16, wasted=2, parts=1, escape=True)],
+            8: [_linear(left, 4, None, 0, 16, parts=3), _linear(side, 12, coefs, 13, 17, parts=1, wide=5)],
+            9: [_linear(side, 2, None, 0, 17, parts=1, escape=True, wide=5), _linear(right, 12, coefs, 13, 16)],
+            10: [_linear(mid, 2, None, 0, 16), _linear(side, 4, None, 0, 17)],
+        }[code]
+        parts.append(_flac_frame(n + 126, size, code, subs))
+        want += zip(left, right, strict=True)
+    raw = b"".join(v.to_bytes(2, "little", signed=True) for pair in want for v in pair)
+    points = b"".join(i.to_bytes(8, "big") + o.to_bytes(8, "big") + size.to_bytes(2, "big") for i, o in ((0, 0), (128, len(parts[0] + parts[1]))))
+    points += b"\xff" * 8 + bytes(10)
+    head = size.to_bytes(2, "big") * 2 + bytes(6) + (44100 << 44 | 1 << 41 | 15 << 36 | 4 * size).to_bytes(8, "big") + hashlib.md5(raw).digest()
+    media = b"fLaC" + b"\0\0\0\x22" + head + b"\x83" + len(points).to_bytes(3, "big") + points + b"".join(parts)
+    assert b"".join(p for *_, p in flacstream.blocks(media, 50)) == raw
+    assert [(a, n) for a, n, _ in flacstream.blocks(media, 100)] == [(0, 100), (100, 100), (200, 56)]
+    for first, count in ((0, 5), (60, 10), (130, 100), (250, 90), (256, 4)):
+        assert flacstream.read_at(media, first, count) == raw[4 * first : 4 * (first + count)]
+    own = flac.encode([flac.payload_of("counted " * 9000)])[0]
+    df = spark.createDataFrame([(1, media), (2, own), (3, None)], "k int, media binary")
+    got = flac.pcm_blocks(df, "k", 100).collect()
+    assert b"".join(bytes(r.pcm) for r in sorted(got, key=lambda r: r.sample_offset) if r.k == 1) == raw
+    assert {r.k for r in got} == {1, 2} and sum(r.n_samples for r in got if r.k == 2) == len(flac.payload_of("counted " * 9000))
+    assert b"".join(p for *_, p in flacstream.blocks(own, 1000)) == b"".join(p for *_, p in flac._own_blocks(own, 1000))
+    for at in (len(media) - 20, len(media) - 1, 42 + len(points) + 10):
+        bad = bytearray(media)
+        bad[at] ^= 1
+        with pytest.raises(ValueError):
+            list(flacstream.blocks(bytes(bad), 100))
+    with pytest.raises(ValueError):
+        list(flacstream.blocks(media[:-30], 100))
