@@ -297,8 +297,8 @@ class Encoder:
             found.append(_long(self.model, chunks[i], int(keys[i]), dropout, own))
             if own:
                 made.append((np.full(len(own), i), *np.array(own).T))
-        cuts = np.flatnonzero(np.diff(group[order], prepend=-1)).tolist()
-        for first, last in zip(cuts, [*cuts[1:], len(order)], strict=True):
+        cuts = [*np.flatnonzero(np.diff(group[order], prepend=-1)).tolist(), len(order)]
+        for first, last in itertools.pairwise(cuts):
             for a in range(first, last, 8192):
                 some, steps = order[a : min(last, a + 8192)], None if made is None else []
                 barred, own_keys = None, keys[some]

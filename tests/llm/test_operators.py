@@ -419,6 +419,9 @@ def test_branches_give_the_ids_of_single_merging(monkeypatch):
             keys = pieces._keyed(pieces._crcs(chunks), pieces._occurrences(e.seed, [n], [len(chunks)]))
             assert got[n] == b"".join(e.merged(chunks, keys, 0.3))
         assert most == 70 or max(map(len, e.without)) > 2
+    long, e = "counting" * 40, pieces.Encoder(pieces.model_path(), 0.3)
+    assert [pieces.decode_ids(e.model, x) for x in e([long, "", None], [1, 2, 3])] == [long, "", ""]
+    assert e.merged([], np.zeros(0, np.uint64), 0.3) == []
 
 
 def test_heap_and_lockstep_agree():
