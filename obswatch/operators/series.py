@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _order(c: str) -> Column:
@@ -25,16 +26,24 @@ def asof(spine: DataFrame, events: DataFrame, key: list[str], at: str, value: st
     """spine with value and its time (value_at): of the events at or before each spine row, the latest.
 
     Both sides are put in one ordered frame, so that the plan is one shuffle on the key and one sort, and no
-    row meets all events of its key. tolerance: seconds, or days, that the event may be older.
+    row meets all events of its key. tolerance: seconds, or days, that the event may be older; seconds are
+    compared to the microsecond. As in a join, a null key or time meets no event.
     """
+    events = events.dropna(subset=[*key, at])
     a = spine.withColumn("_event", F.lit(None).cast(events.schema[value].dataType)).withColumn("_at", F.lit(None).cast(events.schema[at].dataType)).withColumn("_spine", F.lit(1))
     b = events.select(*key, at, F.col(value).alias("_event"), F.col(at).alias("_at"), F.lit(0).alias("_spine"))
     both = a.unionByName(b, allowMissingColumns=True)
     w = W.partitionBy(*key).orderBy(F.col(at), F.col("_spine")).rowsBetween(W.unboundedPreceding, W.currentRow)
     found = F.last(F.when(F.col("_spine") == 0, F.struct("_event", "_at")), ignorenulls=True).over(w)
     out = both.withColumn("_hit", found).where("_spine = 1")
-    age = F.datediff(F.col(at), F.col("_hit._at")) if days else F.unix_seconds(F.col(at).cast("timestamp")) - F.unix_seconds(F.col("_hit._at").cast("timestamp"))
-    keep = F.lit(True) if tolerance is None else age <= tolerance
+    if tolerance is None:
+        keep = F.lit(True)
+    elif days:
+        keep = F.datediff(F.col(at), F.col("_hit._at")) <= tolerance
+    elif isinstance(spine.schema[at].dataType, T.TimestampType):
+        keep = F.unix_micros(F.col(at)) - F.unix_micros(F.col("_hit._at")) <= tolerance * 1_000_000
+    else:  # without a zone: no clock changes between the two
+        keep = F.col(at).cast("timestamp_ntz") - F.col("_hit._at").cast("timestamp_ntz") <= F.make_dt_interval(secs=F.lit(tolerance))
     return out.withColumn("value", F.when(keep, F.col("_hit._event"))).withColumn("value_at", F.when(keep, F.col("_hit._at"))).drop("_hit", "_event", "_at", "_spine")
 
 

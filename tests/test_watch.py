@@ -404,3 +404,21 @@ def test_query_equals_sql(spark, name):
 def test_contract(spark):
     assert __spark_entry__.entry(spark).count() == 365
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_asof_tolerance_to_the_microsecond(spark, tmp_path):
+    import duckdb
+
+    at, days = dt.datetime(2024, 3, 1, 10, 0, 0, 900_000), dt.timedelta(3)
+    ages = {1: days, 2: days + dt.timedelta(microseconds=1), 3: days + dt.timedelta(milliseconds=99), 4: days + dt.timedelta(milliseconds=400), 5: days - dt.timedelta(microseconds=1)}
+    rows = [(10 * u, at, u, "error", float(u)) for u in ages] + [(10 * u + 1, at + age, u, "purchase", 0.0) for u, age in ages.items()]
+    rows += [(100, at, None, "error", 1.0), (101, at, None, "purchase", 1.0), (110, None, 9, "error", 1.0), (111, at, 9, "purchase", 1.0)]
+    for kind in ("timestamp", "timestamp_ntz"):
+        path = str(tmp_path / kind)
+        spark.createDataFrame(rows, f"event_id long, ts {kind}, user_id long, event_type string, value double").write.parquet(f"{path}/events.parquet")
+        con = duckdb.connect()
+        con.execute(f"SET TimeZone = 'UTC'; CREATE VIEW events AS SELECT * REPLACE (ts::TIMESTAMP AS ts) FROM '{path}/events.parquet/*.parquet'")
+        for name in ("asof_tolerance", "asof_backward"):
+            got = {tuple(r) for r in QUERIES[name](spark, path).collect()}
+            assert got == set(con.execute(SQL[name]).fetchall()), (kind, name)
+        assert {r.event_id for r in QUERIES["asof_tolerance"](spark, path).collect() if r.value is not None} == {11, 51}
