@@ -555,6 +555,58 @@ def test_score_equals_a_dense_model(spark):
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-4 * max(1, abs(want[k])) for k in want)
 
 
+def whole_scores(rows):
+    """As dense_scores, but both factors are bettered once more from all training texts."""
+    texts = [(k, maxent.tokens(t), good) for k, t, good in rows]
+    counts = Counter(w for _, ws, good in texts if good for w in ws)
+    own = [w for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[: maxent.FREQUENT]]
+    place = _places({w for _, ws, _ in texts for w in ws}, own)
+    cell_of = {w: int(maxent.cell(np.array([c]), np.array([s]))[0]) for w, (c, s) in place.items()}
+    totals = np.ones(maxent.CELLS)
+    for w, c in counts.items():
+        totals[cell_of[w]] += c + 1 - (w in set(maxent.own_places(own)))
+    model = maxent.start(own, totals, sum(counts.values()))
+
+    def chances(seq, i, level, weights):
+        z = (model.biases[0] if level == 0 else model.biases[1][place[seq[i]][0]]).astype(float) + sum(weights[level][r].astype(float) for r in _features(seq, i, place, level, model.bits))
+        return np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+
+    def levels(seq, i):
+        return [0] if place[seq[i]][0] < maxent.OWN else [0, 1]
+
+    weights = [w.copy() for w in model.weights]
+    for rate in (maxent.FIRST_RATE, maxent.RATE):
+        seen, expected = ([np.zeros(w.shape) for w in weights] for _ in range(2))
+        for seq, i, level in ((seq, i, level) for _, seq, good in texts if good for i in range(len(seq)) for level in levels(seq, i)):
+            guess = chances(seq, i, level, weights) if rate == maxent.RATE else 0
+            for r in _features(seq, i, place, level, model.bits):
+                seen[level][r, place[seq[i]][level]] += 1
+                expected[level][r] += guess
+        if rate == maxent.FIRST_RATE:
+            expected = [maxent.first_expected(x, model, n) for n, x in enumerate(seen)]
+        weights = [maxent.step(w, a, b, rate / f) for w, a, b, (f, _) in zip(weights, seen, expected, maxent.LEVELS, strict=True)]
+    return {k: sum(sum(np.log10(chances(seq, i, level, weights)[place[seq[i]][level]]) for level in levels(seq, i)) + np.log10((counts[seq[i]] + 1) / totals[cell_of[seq[i]]]) for i in range(len(seq))) for k, seq, _ in texts}
+
+
+def test_op8_learns_every_weight_from_all_training_texts(spark, tmp_path):
+    rows = [(k, t, zlib.crc32(str(k).encode()) % 7 != 2) for k, t, _ in _prose(80)]
+    spark.createDataFrame(rows, "doc_id long, text string, learn boolean").repartition(3).drop("learn").write.parquet(str(tmp_path / "documents.parquet"))
+    want = whole_scores(rows)
+    got = {x["doc_id"]: x["score"] for x in maxent.op8_lm_scoring(spark, str(tmp_path)).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-4 * max(1, abs(want[k])) for k in want)
+
+
+@pytest.mark.parametrize("bits", [4, 16, 17])
+def test_sums_by_row(bits):
+    r = np.random.default_rng(bits)
+    for n in (0, 1, 31, 33, 5000):
+        rows, vectors = r.zipf(1.2, n) % (1 << bits), r.random((n, 32)).astype(np.float32)
+        got, want = np.ones((1 << bits, 32)), np.ones((1 << bits, 32))
+        maxent.add_rows(got, rows, vectors)
+        np.add.at(want, rows, vectors)
+        assert np.allclose(got, want, rtol=1e-5)
+
+
 def test_scores_do_not_depend_on_partitions(spark):
     df = spark.createDataFrame(_prose(300), "doc_id long, text string, learn boolean")
     one, many = ({x["key"]: x["score"] for x in maxent.score(df.repartition(n)).collect()} for n in (1, 16))
