@@ -596,6 +596,24 @@ def test_op8_learns_every_weight_from_all_training_texts(spark, tmp_path):
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-4 * max(1, abs(want[k])) for k in want)
 
 
+def test_op8_tasks_give_memory_back(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(maxent, "settle", lambda: calls.append(1))
+
+    class Frame:
+        """Stands for the documents; keeps what would run as a task."""
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, task, _):
+            return task
+
+    task = maxent.blocks(Frame(), "k", "t", "g")
+    monkeypatch.setattr(maxent.TaskContext, "get", classmethod(lambda cls: type("T", (), {"partitionId": lambda self: 0})()))
+    assert list(task(iter([]))) == [] and calls == [1]
+
+
 @pytest.mark.parametrize("bits", [4, 16, 17])
 def test_sums_by_row(bits):
     r = np.random.default_rng(bits)
