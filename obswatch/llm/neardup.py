@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obswatch.llm.common import components, drop_written, grouped, runs, settle, ship, table, written
+from obswatch.llm.common import components, drop_written, grouped, runs, settle, ship, sieve, sifted, table, written
 
 WORDS, THRESHOLD = 5, 0.8
 TREES, MAX_DEPTH, RECALL = 24, 8, 0.9995
@@ -294,14 +294,16 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: fl
     short = rows.select("node", F.explode(_labels(floor)).alias("label")).withColumn("h", F.xxhash64("node"))
     shared = written(short.groupBy("label").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select("label"))
     # ties to the head of each shared prefix; connected, they are the places
-    met = written(short.join(shared, "label").select("label", "node").distinct())
+    some = sieve(shared, "label")
+    met = written(sifted(short, "label", some).join(shared, "label").select("label", "node").distinct())
     heads = written(met.groupBy("label").agg(F.min("node").alias("head")))
     places = written(components(met.join(heads, "label").where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"))))
     texts = docs.select(_node(text).alias("node"), F.coalesce(F.octet_length(text), F.lit(0)).alias("size"), F.col(text).alias("text"))
-    texts = written(texts.join(places.select("node"), "node", "left_semi").dropDuplicates(["node"]))
-    lanes = rows.join(places.select("node"), "node", "left_semi").groupBy("node").agg(F.first("paths").alias("paths"))
+    placed = sieve(places, "node")
+    texts = written(sifted(texts, "node", placed).join(places.select("node"), "node", "left_semi").dropDuplicates(["node"]))
+    lanes = sifted(rows, "node", placed).join(places.select("node"), "node", "left_semi").groupBy("node").agg(F.first("paths").alias("paths"))
     forest = written(texts.select("node", "size").join(places.select("node", F.col("root").alias("place")), "node").join(lanes, "node"))
-    done = [shared, met, heads, places, texts, forest]
+    done = [some, placed, shared, met, heads, places, texts, forest]
     found = rows.sparkSession.createDataFrame([], FOUND)
     for depth in range(max_depth, floor - 1, -1):
         spots = meetings(forest, depth, max_depth, block)

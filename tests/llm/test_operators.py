@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from obswatch.llm import classifier, flac, language, maxent, neardup, packing, pieces, rules, sharding, textstats, warc
+from obswatch.llm import classifier, common, flac, language, maxent, neardup, packing, pieces, rules, sharding, textstats, warc
 from obswatch.llm.common import components, written
 
 SF = "/root/testdata/sf0.001"
@@ -652,6 +652,21 @@ def test_context_tells_words_of_a_class_apart(spark):
     assert maxent.class_of(b"xing") == maxent.class_of(b"ying") and got[1000] > got[1001] + 0.3
 
 
+def test_sieve_lets_all_members_through_without_a_shuffle(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    df = spark.range(4000).select("id", F.concat(F.lit("t"), "id").alias("node"))
+    members = df.where("id % 7 = 0")
+    for bits in (1 << 26, 1 << 16, 64):  # in the last, all bits are set
+        monkeypatch.setattr(common, "SIEVE_BITS", bits)
+        by = common.sieve(members, "node")
+        hit, miss = common.sifted(df, "node", by), common.sifted(df, "node", by, through=False)
+        got, rest = ({r.id for r in x.collect()} for x in (hit, miss))
+        assert {r.id for r in members.collect()} <= got and got | rest == set(range(4000)) and not got & rest
+        assert hit.columns == df.columns and len(got) < {1 << 26: 580, 1 << 16: 700, 64: 4001}[bits]
+        assert "Exchange hashpartitioning" not in hit._jdf.queryExecution().executedPlan().toString()
+
+
 def _shards_by_splitting(rows, limit):
     """Buckets as lists of rows; an oversized one is split on its next bit, until all 60 are used."""
     import hashlib
