@@ -349,7 +349,10 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keep = found.where("key <=> class_id").groupBy("class_key").agg(F.min("node").alias("node"), F.first("key").alias("key")).select("key", "node")
     gone = written(found.join(keep, found["key"].eqNullSafe(keep["key"]) & (found["node"] == keep["node"]), "left_anti").select(F.col("key").alias("gone_key"), F.col("node").alias("gone_node")).distinct())
     packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").alias("key"), _node("text").alias("node"))
-    kept = packed.join(gone, packed["key"].eqNullSafe(gone["gone_key"]) & (packed["node"] == gone["gone_node"]), "left_anti")
+    # texts that surely stay aren't shuffled
+    left = sieve(gone, "gone_node")
+    doubtful = sifted(packed, "node", left)
+    kept = doubtful.join(gone, doubtful["key"].eqNullSafe(gone["gone_key"]) & (doubtful["node"] == gone["gone_node"]), "left_anti").unionByName(sifted(packed, "node", left, through=False))
     if not found.groupBy("key", "node").count().where("count > 1").isEmpty():
         kept = kept.dropDuplicates(["key", "node"])
     return kept.select("row.*")

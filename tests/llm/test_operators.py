@@ -667,6 +667,21 @@ def test_sieve_lets_all_members_through_without_a_shuffle(spark, monkeypatch):
         assert "Exchange hashpartitioning" not in hit._jdf.queryExecution().executedPlan().toString()
 
 
+def test_stage_shuffles_only_doubtful_texts(spark):
+    texts = [" ".join(f"w{i}x{j}" for j in range(30)) for i in range(60)]
+    rows = [*enumerate(texts), (100, texts[3]), (101, texts[4] + " more"), (None, texts[5])]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables of any size
+    try:
+        kept = neardup.stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.doc_id for r in kept.collect()) == list(range(60))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    anti = plan[plan.index("LeftAnti") :]
+    assert "sieve_own" in anti[: anti.index("Union")] if "Union" in anti else "sieve_own" in anti
+
+
 def _shards_by_splitting(rows, limit):
     """Buckets as lists of rows; an oversized one is split on its next bit, until all 60 are used."""
     import hashlib
