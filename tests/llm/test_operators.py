@@ -652,6 +652,21 @@ def test_context_tells_words_of_a_class_apart(spark):
     assert maxent.class_of(b"xing") == maxent.class_of(b"ying") and got[1000] > got[1001] + 0.3
 
 
+def test_tables_follow_the_training_tokens():
+    bits = [maxent.start([b"a"], np.ones(maxent.CELLS), n).bits for n in (0, 1 << 26, 1 << 27, 1 << 28, 1 << 29)]
+    assert bits == [15, 16, 17, 18, 19]
+
+
+def test_tables_in_files_give_the_dense_scores(spark, monkeypatch):
+    """Of 2^18 rows: two slabs, in files of the workers and of the driver."""
+    monkeypatch.setattr(maxent, "LEAST_BITS", 18)
+    rows = _prose(40)
+    want = whole_scores(rows)
+    got = {x["key"]: x["score"] for x in maxent.score(spark.createDataFrame(rows, "doc_id long, text string, learn boolean").repartition(3), slices=1).collect()}
+    assert maxent.start([], np.ones(maxent.CELLS), 1).bits == 18 and isinstance(maxent.zeros(1 << 18, 32), np.memmap)
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-4 * max(1, abs(want[k])) for k in want)
+
+
 def test_sieve_lets_all_members_through_without_a_shuffle(spark, monkeypatch):
     from pyspark.sql import functions as F
 
