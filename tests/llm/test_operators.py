@@ -657,6 +657,14 @@ def test_tables_follow_the_training_tokens():
     assert bits == [15, 16, 17, 18, 19]
 
 
+def test_training_takes_a_block_at_a_time(spark, monkeypatch):
+    seen, key = [], common.BATCH_ROWS
+    before = spark.conf.get(key, None)
+    monkeypatch.setattr(maxent, "written", lambda df: seen.append(df.sparkSession.conf.get(key, None)) or common.written(df))
+    assert maxent.score(spark.createDataFrame(_prose(20), "doc_id long, text string, learn boolean"), slices=1).count() == 20
+    assert seen.count("1") == 2 and spark.conf.get(key, None) == before
+
+
 def test_tables_in_files_give_the_dense_scores(spark, monkeypatch):
     """Of 2^18 rows: two slabs, in files of the workers and of the driver."""
     monkeypatch.setattr(maxent, "LEAST_BITS", 18)
